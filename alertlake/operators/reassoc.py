@@ -35,17 +35,22 @@ def detect_reassociations(
     *,
     rows_per_chunk: int = skew.ROWS_PER_CHUNK,
     probe: DataFrame | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Set is_reassociation, reassociation_reason and is_new_source on deduplicated alerts.
 
     Each row is compared with the row before it, by (mjd, alert_id), of the same source;
     the first row of a source with its stored state, if it has one. The stored state joins
     the window as one more row that precedes all others, so no separate join is needed.
+    ``probe`` is a cheaper superset of the alerts (see ``skew``); ``small_batch`` says that
+    its row count was checked, so that its source ids are broadcast to the stored state.
     """
     rows = alerts.drop("is_reassociation", "reassociation_reason")
     seed = None
     if prior_state is not None:
-        seen = rows.select("dia_source_id").distinct()
+        seen = (alerts if probe is None else probe).select("dia_source_id").distinct()
+        if small_batch:
+            seen = F.broadcast(seen)
         seed = prior_state.join(seen, "dia_source_id", "left_semi").select(
             "dia_source_id",
             F.lit(float("-inf")).alias("mjd"),

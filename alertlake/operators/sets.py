@@ -24,19 +24,25 @@ def distinct_rows(rows: DataFrame) -> DataFrame:
 
 
 def not_stored(
-    alerts: DataFrame, stored: DataFrame, *, small_batch: bool = False
+    alerts: DataFrame,
+    stored: DataFrame,
+    *,
+    keys: Sequence[str] = ("alert_id",),
+    small_batch: bool = False,
 ) -> DataFrame:
-    """Alerts whose alert_id is not stored yet.
+    """Alerts whose key is not stored yet.
 
-    ``small_batch`` is for batches whose size was checked: their ids are broadcast to the
-    stored table, which is then only scanned (one column) and never shuffled; only the hits
-    come back. Otherwise both sides shuffle by alert_id.
+    ``small_batch`` is for batches whose row count was checked: their keys are broadcast to
+    the stored table, which is then only scanned (key columns) and never shuffled; only the
+    hits come back, at most one per batch row. Otherwise both sides shuffle by key.
     """
+    on = list(keys)
+    known = stored.select(*on)
     if not small_batch:
-        return alerts.join(stored.select("alert_id"), "alert_id", "left_anti")
-    ids = alerts.select("alert_id").distinct()
-    hits = stored.select("alert_id").join(F.broadcast(ids), "alert_id", "left_semi").distinct()
-    return alerts.join(F.broadcast(hits), "alert_id", "left_anti")
+        return alerts.join(known, on, "left_anti")
+    wanted = F.broadcast(alerts.select(*on).distinct())
+    hits = known.join(wanted, on, "left_semi").distinct()
+    return alerts.join(F.broadcast(hits), on, "left_anti")
 
 
 def stored_rows_of(filtered: DataFrame, alerts: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ BANDS = ("u", "g", "r", "i", "z", "y")  # fixed values: survey bands
 _CUTOUTS = ("science", "template", "difference")
 
 
-def _band_columns(count: Column = F.lit(1)) -> list[Column]:
+def _band_columns() -> list[Column]:
     """Alerts per known band; ``alerts_other`` covers any further band, so none is lost."""
-    band = F.col("filter_name")
-    cols = [F.count(F.when(band == b, count)).alias(f"alerts_{b}") for b in BANDS]
-    return [*cols, F.count(F.when(~band.isin(*BANDS), count)).alias("alerts_other")]
+    band, one = F.col("filter_name"), F.lit(1)
+    cols = [F.count(F.when(band == b, one)).alias(f"alerts_{b}") for b in BANDS]
+    return [*cols, F.count(F.when(~band.isin(*BANDS), one)).alias("alerts_other")]
 
 
 def observing_date() -> Column:

@@ -53,12 +53,22 @@ def split_header(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def _parsed(payload: Column, schema: T.StructType) -> Column:
+def _json(payload: Column, schema: T.StructType) -> Column:
     with_error = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     return F.from_json(payload.cast("string"), with_error, options)
 
 
+def _avro(spark: SparkSession, payload: Column, schema: str) -> tuple[Column, T.StructType]:
+    from pyspark.sql.avro.functions import from_avro
+
+    require_avro(spark)
+    packet = from_avro(payload, schema, {"mode": "PERMISSIVE"})
+    no_rows = spark.range(0).select(F.lit(b"").alias("payload"))
+    shape = no_rows.select(from_avro("payload", schema).alias("p")).schema["p"].dataType
+    return packet, shape
+
+
 def decode_messages(
     messages: DataFrame,
     default: T.StructType | str = PACKET_SCHEMA,
@@ -74,28 +84,32 @@ def decode_messages(
     """
     split = split_header(messages, value)
     known = by_schema_id or {}
-    payload, sid = F.col("payload"), F.col("schema_id")
+    shapes: dict[str, T.StructType] = {}
+    parsed: dict[str, Column] = {}
 
-    def flat_struct(schema) -> Column:
+    # Each message is parsed once, by its own schema, into a column of its own; the flat
+    # columns then only pick members.
+    def parse(name: str, schema, applies: Column) -> None:
+        payload = F.when(applies, F.col("payload"))
         if encoding == "avro":
-            from pyspark.sql.avro.functions import from_avro
-
-            require_avro(messages.sparkSession)
-            packet = from_avro(payload, schema, {"mode": "PERMISSIVE"})
-            probe = messages.sparkSession.range(0).select(
-                from_avro(F.lit(b"").cast("binary"), schema, {"mode": "PERMISSIVE"}).alias("p")
-            )
-            shape = probe.schema["p"].dataType
-            ok = packet["alertId"].isNotNull()
+            parsed[name], shapes[name] = _avro(messages.sparkSession, payload, schema)
         else:
-            packet, shape = _parsed(payload, schema), schema
-            ok = packet.isNotNull() & packet[_CORRUPT].isNull()
-        return F.when(ok, F.struct(*flat_columns(shape, packet)))
+            parsed[name], shapes[name] = _json(payload, schema), schema
 
-    chosen = flat_struct(default)
+    sid = F.col("schema_id")
+    other = ~F.coalesce(sid.isin(list(known)), F.lit(False)) if known else F.lit(True)
+    parse("_default", default, other)
     for number, schema in known.items():
-        chosen = F.when(sid == number, flat_struct(schema)).otherwise(chosen)
-    decoded = split.withColumn("_flat", chosen)
+        parse(f"_schema_{number}", schema, sid == number)
+    split = split.withColumns(parsed)
+
+    def flat_struct(name: str) -> Column:
+        packet, shape = F.col(name), shapes[name]
+        ok = packet.isNotNull()
+        ok = ok & (packet[_CORRUPT].isNull() if encoding == "json" else packet["alertId"].isNotNull())
+        return F.when(ok, F.struct(*flat_columns(shape, packet)))
+
+    decoded = split.withColumn("_flat", F.coalesce(*[flat_struct(name) for name in shapes]))
     good = decoded.where(F.col("_flat").isNotNull()).select("_flat.*").select(*ALERT_COLUMNS)
     bad = decoded.where(F.col("_flat").isNull()).select(value, "schema_id")
     return good, bad
