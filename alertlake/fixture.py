@@ -216,11 +216,11 @@ class Tables:
         steps = F.filter(F.sequence(F.lit(1), F.greatest(upto, F.lit(1))), lambda i: i <= upto)
         return self.fx.select(
             f("alert_id").cast("string").alias("locus_id"),
-            (f("ra") / 2).alias("ra"),
-            (f("dec") / 2).alias("dec"),
+            (f("ra") / 2).alias("locus_ra"),
+            (f("dec") / 2).alias("locus_dec"),
             tags.alias("tags"),
             F.transform(steps, history).alias("alerts"),
-        )
+        ).withColumnsRenamed({"locus_ra": "ra", "locus_dec": "dec"})
 
     @cached_property
     def stamps(self) -> DataFrame:

@@ -43,9 +43,11 @@ def mjd_to_date(mjd: Column | str) -> Column:
     return F.date_add(F.lit(MJD_DAY_ZERO).cast("date"), F.floor(col(mjd)).cast("int"))
 
 
-def mjd_day(mjd: Column | str) -> Column:
-    """Partition value of the alert table."""
-    return F.floor(col(mjd)).cast("int")
+def mjd_day(mjd: Column | str, partition_days: int = 1) -> Column:
+    """Partition value of the alert table: first day of the partition."""
+    if partition_days == 1:
+        return F.floor(col(mjd)).cast("int")
+    return (F.floor(col(mjd) / partition_days) * partition_days).cast("int")
 
 
 def jd_to_mjd(jd: Column | str) -> Column:

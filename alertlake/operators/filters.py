@@ -220,16 +220,21 @@ def filter_rows(
     return alerts.where(as_udf(F.struct("*")))
 
 
-def prune_days(alerts: DataFrame, start: float | None, end: float | None) -> DataFrame:
+def prune_days(
+    alerts: DataFrame, start: float | None, end: float | None, partition_days: int = 1
+) -> DataFrame:
     """Window on mjd that also bounds the ``mjd_day`` partition column, if there is one.
 
-    Catalyst cannot derive the partition predicate from the one on ``mjd``.
+    Catalyst cannot derive the partition predicate from the one on ``mjd``. A partition of
+    ``partition_days`` is named after its first day.
     """
     has_day = "mjd_day" in alerts.columns
     if start is not None:
         alerts = alerts.where(F.col("mjd") >= start)
-        alerts = alerts.where(F.col("mjd_day") >= int(start // 1)) if has_day else alerts
+        if has_day:
+            alerts = alerts.where(F.col("mjd_day") > int(start // 1) - partition_days)
     if end is not None:
         alerts = alerts.where(F.col("mjd") <= end)
-        alerts = alerts.where(F.col("mjd_day") <= int(end // 1)) if has_day else alerts
+        if has_day:
+            alerts = alerts.where(F.col("mjd_day") <= int(end // 1))
     return alerts

@@ -106,7 +106,7 @@ def high_snr(alerts: DataFrame, min_snr: float = 50.0) -> DataFrame:
 
 
 def processing_window(
-    alerts: DataFrame, days: float = 15, limit: int | None = None
+    alerts: DataFrame, days: float = 15, limit: int | None = None, partition_days: int = 1
 ) -> DataFrame:
     """Rows within ``days`` of the newest mjd, newest first. The maximum is a scalar
     subquery; on a table partitioned by ``mjd_day`` it is taken from the newest day and
@@ -116,7 +116,7 @@ def processing_window(
         last_day = alerts.agg(F.max("mjd_day")).scalar()
         start = alerts.where(F.col("mjd_day") == last_day).agg(newest - days).scalar()
         rows = alerts.where(F.col("mjd") >= start)
-        rows = rows.where(F.col("mjd_day") >= last_day - F.lit(int(days) + 1))
+        rows = rows.where(F.col("mjd_day") >= last_day - F.lit(int(days) + 1 + partition_days))
     else:
         rows = alerts.where(F.col("mjd") >= alerts.agg((F.max("mjd") - days).alias("s")).scalar())
     return f.FilterConfig(order_by="mjd", limit=limit).apply(rows)

@@ -152,15 +152,22 @@ RETENTION_DAYS = {"csv": 90, "cutouts": 30}  # fixed values: defaults per kind o
 
 
 def expired_days(
-    spark: SparkSession, path: str, days: int, as_of: date | None = None
+    spark: SparkSession,
+    path: str,
+    days: int,
+    as_of: date | None = None,
+    partition_days: int = 1,
 ) -> list[str]:
-    """Day partitions (``year=/month=/day=`` or ``mjd_day=``) older than ``days``."""
+    """Partitions (``year=/month=/day=`` or ``mjd_day=``) all of whose days are older than
+    ``days``."""
     limit = (as_of or datetime.now(timezone.utc).date()) - timedelta(days=days)
     old = []
     for top in storage.subdirectories(spark, path):
         leaf = top.rsplit("/", 1)[-1]
         if leaf.startswith("mjd_day="):
-            day = date(1858, 11, 17) + timedelta(days=int(leaf.split("=")[1]))
+            day = date(1858, 11, 17) + timedelta(
+                days=int(leaf.split("=")[1]) + partition_days - 1
+            )
             old += [top] if day < limit else []
         elif leaf.startswith("year="):
             for month in storage.subdirectories(spark, top):
@@ -179,12 +186,13 @@ def expire(
     archive: str | None = None,
     as_of: date | None = None,
     dry_run: bool = True,
+    partition_days: int = 1,
 ) -> list[str]:
     """Drop old day partitions, after copying them below ``archive`` if one is given.
 
     A dry run, the default, only lists them.
     """
-    old = expired_days(spark, path, days, as_of)
+    old = expired_days(spark, path, days, as_of, partition_days)
     if dry_run or not old:
         return old
     if archive is not None:

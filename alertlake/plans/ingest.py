@@ -148,7 +148,11 @@ def _run(
 
     # 3. Append under the run; its state and counts are taken from what was written.
     target = lake.run_path("alerts", stats.run_id)
-    storage.write_by_day(flagged.select(*ALERT_COLUMNS, "is_new_source"), target)
+    storage.write_by_day(
+        flagged.select(*ALERT_COLUMNS, "is_new_source"),
+        target,
+        partition_days=lake.partition_days,
+    )
     written = lake.read(spark, "alerts").where(F.col("run_id") == stats.run_id)
     stats.alerts_stored, stats.reassociations, stats.new_sources = written.agg(
         F.count(F.lit(1)), F.count_if("is_reassociation"), F.count_if("is_new_source")

@@ -54,8 +54,10 @@ class Processor:
     def summary(self, records: int, input_rows: int) -> str:
         return f"{records} records from {input_rows} alerts"
 
-    def input(self, alerts: DataFrame, start_mjd: float, end_mjd: float) -> DataFrame:
-        window = prune_days(alerts, start_mjd, end_mjd)
+    def input(
+        self, alerts: DataFrame, start_mjd: float, end_mjd: float, partition_days: int = 1
+    ) -> DataFrame:
+        window = prune_days(alerts, start_mjd, end_mjd, partition_days)
         test = self.select()
         return window if test is None else window.where(test)
 
@@ -287,7 +289,8 @@ class Runner:
         end = X.as_of_mjd(as_of)
         window = {"window_start_mjd": end - days, "window_end_mjd": end}
         try:
-            rows = processor.input(self.alerts if source is None else source, end - days, end)
+            base = self.alerts if source is None else source
+            rows = processor.input(base, end - days, end, self.lake.partition_days)
             # Counts come from finished tables, not from metrics of running tasks, which
             # count twice when tasks are repeated.
             out.input_rows = storage.count_rows(rows)
@@ -336,7 +339,8 @@ class Runner:
     ) -> list[RunResult]:
         """All (or the named) processors over one window, which is kept for them to share."""
         end = X.as_of_mjd(as_of)
-        shared = prune_days(self.alerts, end - window_days, end).persist(
+        width = self.lake.partition_days
+        shared = prune_days(self.alerts, end - window_days, end, width).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         results = []

@@ -64,9 +64,11 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Lake:
-    """Tables below one root folder."""
+    """Tables below one root folder. Alerts are partitioned by day; a sparse table may take
+    several days per partition."""
 
     root: str
+    partition_days: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -89,12 +91,14 @@ class Lake:
         )
 
 
-def write_by_day(alerts: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_by_day(
+    alerts: DataFrame, path: str, mode: str = "overwrite", partition_days: int = 1
+) -> None:
     """Write partitioned by ``mjd_day``. The rebalance lets AQE split a crowded day over
     tasks and join sparse days in one, so neither giant nor tiny files come out; rows are
     sorted by source inside the files, which makes their min/max statistics selective."""
     (
-        alerts.withColumn("mjd_day", X.mjd_day("mjd"))
+        alerts.withColumn("mjd_day", X.mjd_day("mjd", partition_days))
         .hint("rebalance", "mjd_day")
         .sortWithinPartitions("mjd_day", "dia_source_id", "mjd")
         .write.mode(mode)
@@ -105,7 +109,8 @@ def write_by_day(alerts: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def compact_alerts(spark: SparkSession, lake: Lake, target: str) -> DataFrame:
     """Rewrite the alert table of many runs into one folder of day partitions."""
-    write_by_day(lake.read(spark, "alerts").drop("mjd_day"), target)
+    rows = lake.read(spark, "alerts").drop("mjd_day")
+    write_by_day(rows, target, partition_days=lake.partition_days)
     return spark.read.parquet(target)
 
 

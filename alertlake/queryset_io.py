@@ -33,6 +33,9 @@ from alertlake.streaming import ingest as SI
 from alertlake.streaming import reassoc as SR
 
 
+WIDTH = 60  # days per partition: the benchmark rows spread thinly over years
+
+
 def _map_text(name: str, number: bool) -> F.Column:
     value = (lambda v: F.floor(v).cast("string")) if number else (lambda v: v.cast("string"))
     return F.array_join(
@@ -443,7 +446,7 @@ def _as_alerts(rows: DataFrame) -> DataFrame:
 
 
 def _ingest_twice(t: Tables) -> I.IngestStats:
-    lake = SG.Lake(scratch_path(t.spark, "lake"))
+    lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH)
     alerts = _as_alerts(t.fx)
     I.ingest(alerts.where(F.col("mjd") < 51000), lake, run_id="first", source_name="part")
     I.ingest(alerts, lake, run_id="second", source_name="rest")
@@ -485,7 +488,7 @@ add(
     .select("alert_id", "dia_source_id", "mjd", F.col("mjd_day").cast("bigint").alias("mjd_day")),
     with_ctes(
         "fx",
-        """SELECT alert_id, dia_source_id, mjd, CAST(floor(mjd) AS BIGINT) AS mjd_day FROM (
+        """SELECT alert_id, dia_source_id, mjd, CAST(floor(mjd / 60) * 60 AS BIGINT) AS mjd_day FROM (
         SELECT alert_id, dia_source_id, coalesce(min(mjd) FILTER (mjd < 51000), min(mjd)) AS mjd
         FROM fx GROUP BY 1, 2)""",
     ),
@@ -525,7 +528,7 @@ add(
 
 
 def _dry_run(t: Tables) -> DataFrame:
-    lake = SG.Lake(scratch_path(t.spark, "lake"))
+    lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH)
     alerts = _as_alerts(t.fx)
     I.ingest(alerts.where(F.col("mjd") < 51000), lake, run_id="first")
     return I.dry_run(alerts, lake)
@@ -553,7 +556,7 @@ def _line_stream(t: Tables) -> DataFrame:
 
 
 def _stream_ingest(t: Tables) -> DataFrame:
-    lake = SG.Lake(scratch_path(t.spark, "stream-lake"))
+    lake = SG.Lake(scratch_path(t.spark, "stream-lake"), WIDTH)
     query = SI.start_ingest(_line_stream(t), lake, scratch_path(t.spark, "offsets"), name="lines")
     SI.run_bounded(query)
     return lake.read(t.spark, "alerts").select("alert_id", "dia_source_id", "mjd")
@@ -756,10 +759,17 @@ add(
 
 def _retained(t: Tables) -> DataFrame:
     base = scratch_path(t.spark, "retention")
-    SG.write_by_day(t.fx.select("alert_id", "dia_source_id", "mjd"), f"{base}/live")
+    slim = t.fx.select("alert_id", "dia_source_id", "mjd")
+    SG.write_by_day(slim, f"{base}/live", partition_days=WIDTH)
     as_of = date.fromisoformat(AS_OF[:10])
     old = E.expire(
-        t.spark, f"{base}/live", 365, archive=f"{base}/archive", as_of=as_of, dry_run=False
+        t.spark,
+        f"{base}/live",
+        365,
+        archive=f"{base}/archive",
+        as_of=as_of,
+        dry_run=False,
+        partition_days=WIDTH,
     )
     live = t.spark.read.parquet(f"{base}/live").withColumn("place", F.lit("live"))
     if old:
@@ -775,7 +785,7 @@ add(
     _retained,
     with_ctes(
         "fx",
-        f"""SELECT CASE WHEN DATE '1858-11-17' + CAST(floor(mjd) AS INTEGER) <
+        f"""SELECT CASE WHEN DATE '1858-11-17' + CAST(floor(mjd / 60) * 60 + 59 AS INTEGER) <
         DATE '{AS_OF[:10]}' - 365 THEN 'archive' ELSE 'live' END AS place, count(*) AS n,
         min(mjd) AS lo, max(mjd) AS hi FROM fx GROUP BY 1""",
     ),

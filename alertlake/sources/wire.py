@@ -103,16 +103,24 @@ def decode_messages(
         parse(f"_schema_{number}", schema, sid == number)
     split = split.withColumns(parsed)
 
-    def flat_struct(name: str) -> Column:
-        packet, shape = F.col(name), shapes[name]
-        ok = packet.isNotNull()
-        ok = ok & (packet[_CORRUPT].isNull() if encoding == "json" else packet["alertId"].isNotNull())
-        return F.when(ok, F.struct(*flat_columns(shape, packet)))
-
-    decoded = split.withColumn("_flat", F.coalesce(*[flat_struct(name) for name in shapes]))
-    good = decoded.where(F.col("_flat").isNotNull()).select("_flat.*").select(*ALERT_COLUMNS)
-    bad = decoded.where(F.col("_flat").isNull()).select(value, "schema_id")
-    return good, bad
+    def decoded(name: str) -> Column:
+        packet = F.col(name)
+        if encoding == "json":
+            return packet.isNotNull() & packet[_CORRUPT].isNull()
+        return packet["alertId"].isNotNull()
+
+    # At most one of the parsed columns is set, so the flat columns are picked one by one.
+    flat = [flat_columns(shapes[name], F.col(name)) for name in shapes]
+    any_ok = F.lit(False)
+    for name in shapes:
+        any_ok = any_ok | decoded(name)
+    picked = []
+    for position, column in enumerate(ALERT_COLUMNS):
+        choice = F.lit(None)
+        for name, columns in zip(shapes, flat):
+            choice = F.when(F.col(name).isNotNull(), columns[position]).otherwise(choice)
+        picked.append(choice.alias(column))
+    return split.where(any_ok).select(*picked), split.where(~any_ok).select(value, "schema_id")
 
 
 def kafka_messages(
