@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,6 +24,13 @@ _FLAGS = T.StructType(
 )
 
 
+def _reason(last_id, last_time, now_id, now_time) -> str | None:
+    if now_id is not None and last_id != now_id:
+        return NEW if last_id is None else CHANGED
+    timed = last_time is not None and now_time is not None
+    return UPDATED if timed and last_time != now_time else None
+
+
 class LastAssociation(StatefulProcessor):
     """State: association of the last row seen of a source, dropped after ``ttl_days``
     without a new row."""
@@ -36,53 +43,40 @@ class LastAssociation(StatefulProcessor):
             "last", f"{_ID} string, {_TIME} double", ttlDurationMs=self._ttl
         )
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # The rows of one source in one micro-batch; the trigger's size limit bounds them.
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(
-            list(ARRIVAL_ORDER), kind="stable", ignore_index=True
-        )
         seen = self._last.exists()
-        stored = self._last.get() if seen else (None, None)
-        ids, times = batch[_ID].astype(object), batch[_TIME].astype("float64")
-        prev_ids, prev_times = ids.shift(), times.shift()
-        first = pd.Series([not seen] + [False] * (len(batch) - 1))
-        if seen:
-            prev_ids.iloc[0] = stored[0]
-            prev_times.iloc[0] = stored[1]
-        reason = pd.Series([None] * len(batch), dtype=object)
-        both = prev_ids.notna() & ids.notna()
-        later = prev_times.notna() & times.notna() & (prev_times != times)
-        reason[later] = UPDATED
-        reason[both & (prev_ids != ids)] = CHANGED
-        reason[prev_ids.isna() & ids.notna()] = NEW
-        reason[first] = None
-        last_id, last_time = ids.iloc[-1], times.iloc[-1]
-        self._last.update(
-            (
-                None if pd.isna(last_id) else last_id,
-                None if pd.isna(last_time) else float(last_time),
+        last_id, last_time = self._last.get() if seen else (None, None)
+        for row in sorted(rows, key=itemgetter(*ARRIVAL_ORDER)):
+            now_id, now_time = row[_ID], row[_TIME]
+            reason = _reason(last_id, last_time, now_id, now_time) if seen else None
+            yield Row(
+                **row.asDict(),
+                is_reassociation=reason is not None,
+                reassociation_reason=reason,
+                is_new_source=not seen,
             )
-        )
-        yield batch.assign(
-            is_reassociation=reason.notna(), reassociation_reason=reason, is_new_source=first
-        )
+            seen, last_id, last_time = True, now_id, now_time
+        self._last.update((last_id, last_time))
 
     def close(self) -> None:
         pass
 
 
-def detect_in_stream(alerts: DataFrame, *, ttl_days: float | None = 90) -> DataFrame:
+def detect_in_stream(alerts: DataFrame, *, ttl_days: float | None = None) -> DataFrame:
     """Streaming counterpart of ``detect_reassociations`` for deduplicated alerts.
 
     Within a micro-batch rows count as arrived in (mjd, alert_id) order; across batches a
-    row is compared with the latest seen before it.
+    row is compared with the latest seen before it. ``ttl_days`` (the usual value is 90) drops
+    idle sources by processing time; it is for queries that run on, as Spark keeps starting
+    batches for such state and an available-now query would never end.
     """
     conf = alerts.sparkSession.conf
     if conf.get(PROVIDER, None) != ROCKSDB:
         conf.set(PROVIDER, ROCKSDB)
     plain = alerts.drop("is_reassociation", "reassociation_reason", "is_new_source")
     output = T.StructType([*plain.schema.fields, *_FLAGS.fields])
-    return plain.groupBy("dia_source_id").transformWithStateInPandas(
+    return plain.groupBy("dia_source_id").transformWithState(
         statefulProcessor=LastAssociation(ttl_days),
         outputStructType=output,
         outputMode="Append",
