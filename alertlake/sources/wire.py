@@ -30,7 +30,7 @@ def require_format(spark: SparkSession, class_name: str, package: str) -> None:
 
 def require_avro(spark: SparkSession) -> None:
     require_format(
-        spark, "org.apache.spark.sql.avro.AvroFileFormat", "org.apache.spark:spark-avro_2.13"
+        spark, "org.apache.spark.sql.v2.avro.AvroDataSourceV2", "org.apache.spark:spark-avro_2.13"
     )
 
 
