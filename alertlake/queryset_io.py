@@ -21,7 +21,7 @@ from alertlake.plans import processors as PR
 from alertlake.plans import reports as RP
 from alertlake.plans import storage as SG
 from alertlake.queryset import AS_OF_TIME, MOON, ROW, ROW_SQL, add, near, r6, rows
-from alertlake.schema import ALERT_COLUMNS, PACKET_SCHEMA, PORTAL_SCHEMA
+from alertlake.schema import ALERT_COLUMNS, PACKET_SCHEMA
 from alertlake.session import scratch_path
 from alertlake.sources import files as FS
 from alertlake.sources import locus as L
@@ -142,11 +142,16 @@ add(
 
 # --- portal rows, loci, orbits ---------------------------------------------------------------
 
+def _portal_alerts(t: Tables) -> DataFrame:
+    """Written as JSON lines and read back by the portal reader."""
+    folder = scratch_path(t.spark, "portal")
+    t.portal_json.write.text(folder)
+    return PO.read_portal_json(t.spark, folder, multi_line=False)
+
+
 add(
     "portal_mapping",
-    lambda t: PO.portal_to_alerts(
-        t.portal_json.select(F.from_json("value", PORTAL_SCHEMA).alias("r")).select("r.*")
-    ).select(
+    lambda t: _portal_alerts(t).select(
         "alert_id",
         "dia_source_id",
         "dia_object_id",
