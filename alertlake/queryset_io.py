@@ -21,7 +21,7 @@ from alertlake.plans import processors as PR
 from alertlake.plans import reports as RP
 from alertlake.plans import storage as SG
 from alertlake.queryset import AS_OF_TIME, MOON, ROW, ROW_SQL, add, near, r6, rows
-from alertlake.schema import ALERT_COLUMNS, PACKET_SCHEMA
+from alertlake.schema import ALERT_COLUMNS, LOCUS_SCHEMA, PACKET_SCHEMA
 from alertlake.session import scratch_path
 from alertlake.sources import files as FS
 from alertlake.sources import locus as L
@@ -187,6 +187,13 @@ add(
     ),
 )
 
+def _loci(t: Tables) -> DataFrame:
+    """The loci as a stored table, as a broker delivers them."""
+    folder = scratch_path(t.spark, "loci")
+    t.loci.write.parquet(folder)
+    return t.spark.read.schema(LOCUS_SCHEMA).parquet(folder)
+
+
 _LOCUS_STEPS = """steps AS (SELECT *, mjd + i / 4 AS seen_at, l_partkey % 3 AS known
  FROM (SELECT *, CAST(unnest({I}) AS DOUBLE) AS i FROM fx WHERE l_linenumber > 1)),
  named AS (SELECT *, known < 2 AND ss_object_id IS NOT NULL AS has_id FROM steps),
@@ -214,17 +221,17 @@ _LAST_ONE = "[l_linenumber - 1]"
 _ALL = "generate_series(1, l_linenumber - 1)"
 add(
     "locus_latest",
-    lambda t: L.locus_latest(t.loci).select(*_LOCUS_COLS),
+    lambda t: L.locus_latest(_loci(t)).select(*_LOCUS_COLS),
     _locus_sql(_LAST_ONE, _LOCUS_SELECT),
 )
 add(
     "locus_history",
-    lambda t: L.locus_history(t.loci).select(*_LOCUS_COLS),
+    lambda t: L.locus_history(_loci(t)).select(*_LOCUS_COLS),
     _locus_sql(_ALL, _LOCUS_SELECT),
 )
 add(
     "sso_association",
-    lambda t: L.locus_history(t.loci)
+    lambda t: L.locus_history(_loci(t))
     .groupBy("has_ss_source", "ss_object_id")
     .agg(
         F.count(F.lit(1)).alias("n"),
@@ -246,7 +253,7 @@ _IN = (
 _PF = dict(median_low=0.2, median_high=0.8, min_low=0.25, max_high=0.95)
 add(
     "locus_pass_filter_v2",
-    lambda t: R.PassFilter(**_PF).on_loci(t.loci).select("locus_id"),
+    lambda t: R.PassFilter(**_PF).on_loci(_loci(t)).select("locus_id"),
     _locus_sql(
         _LAST_ONE,
         _LOCUS_PASS.format(IN=_IN, NEAR="OR coalesce(abs(time - own_mjd) <= 1, false)"),
@@ -254,7 +261,7 @@ add(
 )
 add(
     "locus_pass_filter_v1",
-    lambda t: R.PassFilter(**_PF, reassociation=False).on_loci(t.loci).select("locus_id"),
+    lambda t: R.PassFilter(**_PF, reassociation=False).on_loci(_loci(t)).select("locus_id"),
     _locus_sql(_LAST_ONE, _LOCUS_PASS.format(IN=_IN, NEAR="")),
 )
 add(
