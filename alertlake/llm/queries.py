@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlake.llm import decontam, simhash
+from alertlake.llm import byte_bpe, decontam, quality_rules, simhash, token_counts
 from alertlake.llm import oracle as SQL
 from alertlake.llm.common import read
 
@@ -30,3 +31,14 @@ add(
     SQL.DECONTAMINATION,
 )
 add("op2_simhash", lambda spark, d: simhash.report(documents(spark, d)))
+add("op3_quality_rules", lambda spark, d: quality_rules.report(documents(spark, d)), quality_rules.sql())
+add(
+    "op7_token_counts",
+    lambda spark, d: token_counts.report(documents(spark, d), public_tokenizers.path("word_bpe_49k.json")),
+)
+add(
+    "op10_byte_bpe",
+    lambda spark, d: byte_bpe.report(
+        documents(spark, d), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ),
+)
