@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlake.llm import byte_bpe, decontam, quality_rules, simhash, token_counts
+from alertlake.llm import byte_bpe, decontam, line_dedup, quality_rules, simhash, token_counts
 from alertlake.llm import oracle as SQL
 from alertlake.llm.common import read
 
@@ -42,3 +42,4 @@ add(
         documents(spark, d), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ),
 )
+add("op4_line_dedup", lambda spark, d: line_dedup.report(documents(spark, d)), line_dedup.SQL)
