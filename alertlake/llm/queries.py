@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlake.llm import byte_bpe, decontam, line_dedup, quality_rules, secret_scan, simhash, token_counts
+from alertlake.llm import byte_bpe, decontam, line_dedup, quality_model, quality_rules
+from alertlake.llm import secret_scan, simhash, token_counts
 from alertlake.llm import oracle as SQL
 from alertlake.llm.common import read
 
@@ -44,3 +45,7 @@ add(
 )
 add("op4_line_dedup", lambda spark, d: line_dedup.report(documents(spark, d)), line_dedup.SQL)
 add("op5_secret_scan", lambda spark, d: secret_scan.report(documents(spark, d)), secret_scan.sql())
+add(
+    "op8_quality_classifier",
+    lambda spark, d: quality_model.report(documents(spark, d), read(spark, d, "labels")),
+)
