@@ -11,6 +11,7 @@ broadcast, so executors need no copy of it.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alertlake.llm.common import fresh, with_computed
+from alertlake.llm.common import built_once, fresh, with_computed
 
 #: Pre-tokens held at once of one text, and remembered by one worker.
 PRE_TOKENS_AT_ONCE = 1 << 16
@@ -115,13 +116,12 @@ class Codec:
 def _codec(df: DataFrame, path: str, pattern: str):
     """A function that gives a worker's own Codec."""
     with open(path, "rb") as f:
-        given = df.sparkSession.sparkContext.broadcast(f.read())
-    made: list[Codec] = []
+        raw = f.read()
+    given = df.sparkSession.sparkContext.broadcast(raw)
+    key = ("codec", hashlib.sha256(raw).hexdigest(), pattern)
 
     def codec() -> Codec:
-        if not made:
-            made.append(Codec(given.value, pattern))
-        return made[0]
+        return built_once(key, lambda: Codec(given.value, pattern))
 
     return codec
 

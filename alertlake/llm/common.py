@@ -19,6 +19,17 @@ ROWS_AT_ONCE = 256
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+_built: dict[object, object] = {}
+
+
+def built_once(key: object, build: Callable[[], object]) -> object:
+    """What ``build`` made for ``key`` in this worker process; the last one made of each kind is kept."""
+    kind = key[0]
+    if kind not in _built or _built[kind][0] != key:
+        _built[kind] = (key, build())
+    return _built[kind][1]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

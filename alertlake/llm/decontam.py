@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alertlake.llm.common import fresh, raw_texts, with_computed
+from alertlake.llm.common import built_once, fresh, raw_texts, with_computed
 
 WINDOW = 13
 #: Benchmark text in one automaton. 256 KB of text make about 45,000 windows and 25 MB of automaton.
@@ -149,17 +149,16 @@ def with_hits(
     out = docs
     for k, block in enumerate(_blocks(benchmark, item_col, item_text)):
         given = spark.sparkContext.broadcast(block)
-        built: list[Automaton] = []
+        key = (f"automaton {k}", window, hashlib.sha256(repr(block).encode()).hexdigest())
         before = name if k else None
 
-        def compute(texts: pa.Array, earlier: pa.Array | None = None, given=given, built=built) -> list:
-            if not built:
-                built.append(Automaton(given.value, window))
+        def compute(texts: pa.Array, earlier: pa.Array | None = None, given=given, key=key) -> list:
+            automaton = built_once(key, lambda: Automaton(given.value, window))
             found = earlier.to_pylist() if earlier is not None else [None] * len(texts)
             out = []
             for raw, old in zip(raw_texts(texts), found, strict=True):
                 words = words_of(raw)
-                ranges, items = built[0].scan(words)
+                ranges, items = automaton.scan(words)
                 if old:
                     ranges = [*ranges, *((r["first"], r["last"]) for r in old["words"])]
                     items = items | set(old["items"])

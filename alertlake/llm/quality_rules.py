@@ -58,7 +58,7 @@ RULES = (
     Rule("symbols_per_word", "n_symbols", "n_words", scale=100, high=10),
     Rule("stop_words", "n_stop_words", low=2),
     Rule("stop_word_share", "n_stop_words", "n_words", scale=100, low=3),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", scale=100, high=30),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", scale=100, high=50),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", scale=100, high=30),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", scale=100, high=90),
 )

@@ -9,6 +9,7 @@ driver (under 2 MB, a fixed size) and broadcast.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import unicodedata
 from collections import Counter
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertlake.llm.byte_bpe import byte_symbols
-from alertlake.llm.common import fresh, with_computed
+from alertlake.llm.common import built_once, fresh, with_computed
 
 WORDS_AT_ONCE = 1 << 16
 REMEMBERED = 500_000
@@ -120,13 +121,13 @@ def with_counts(docs: DataFrame, path: str, name: str = "n_tokens", text_col: st
     Rows and other columns stay; ``name`` must not be a column already.
     """
     with open(path, "rb") as f:
-        given = docs.sparkSession.sparkContext.broadcast(f.read())
-    made: list[Counts] = []
+        raw = f.read()
+    given = docs.sparkSession.sparkContext.broadcast(raw)
+    key = ("counts", hashlib.sha256(raw).hexdigest())
 
     def compute(texts: pa.Array) -> list[int]:
-        if not made:
-            made.append(Counts(given.value))
-        return [made[0].of_text(x) for x in texts.to_pylist()]
+        counts = built_once(key, lambda: Counts(given.value))
+        return [counts.of_text(x) for x in texts.to_pylist()]
 
     return with_computed(docs, name, T.LongType(), [text_col], compute)
 
