@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from alertlake.llm import byte_bpe, decontam, line_dedup, ngram_lm, quality_model, quality_rules
-from alertlake.llm import secret_scan, simhash, token_counts
+from alertlake.llm import secret_scan, simhash, token_counts, warc
 from alertlake.llm import oracle as SQL
 from alertlake.llm.common import read
 
@@ -50,3 +50,4 @@ add(
     lambda spark, d: quality_model.report(documents(spark, d), read(spark, d, "labels")),
 )
 add("op6_language_model", lambda spark, d: ngram_lm.report(documents(spark, d)))
+add("op9_warc_derivatives", lambda spark, d: warc.report(read(spark, d, "pages")))
