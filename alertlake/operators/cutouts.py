@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import zlib
 from datetime import datetime
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,15 +53,18 @@ _COMPARED = _row_type(
 )
 
 
-def stamps_long(packets: DataFrame) -> DataFrame:
-    """One row per packet and stamp column: kind, data."""
-    nested = "diaSource" in packets.columns
-    keys = {
+def _key_columns(nested: bool) -> dict[str, str]:
+    return {
         "alert_id": "alertId" if nested else "alert_id",
         "dia_source_id": "diaSource.diaSourceId" if nested else "dia_source_id",
         "dia_object_id": "diaSource.diaObjectId" if nested else "dia_object_id",
         "mjd": "diaSource.midPointTai" if nested else "mjd",
     }
+
+
+def stamps_long(packets: DataFrame) -> DataFrame:
+    """One row per packet and stamp column: kind, data."""
+    keys = _key_columns("diaSource" in packets.columns)
     each = [
         F.struct(F.lit(kind).alias("kind"), F.col(name).alias("data"))
         for kind, name in zip(KINDS, CUTOUT_FIELDS)
@@ -136,6 +140,58 @@ def planned_paths(
     return classified.withColumn("path", F.when(F.col("verdict") == "valid", path))
 
 
+def stamp_paths(
+    packets: DataFrame,
+    base: str,
+    written_at: Column,
+    *,
+    by_date: bool = True,
+    by_object: bool = False,
+    compress: bool = False,
+) -> DataFrame:
+    """Per alert the three ``<kind>_cutout_path`` columns, from the packet's own row: no shuffle."""
+    nested = "diaSource" in packets.columns
+    rows = packets.select(
+        *[F.col(c).alias(n) for n, c in _key_columns(nested).items()],
+        *[F.col(c).alias(k) if c in packets.columns else F.lit(None).cast("binary").alias(k) for k, c in zip(KINDS, CUTOUT_FIELDS)],
+    )
+    paths = []
+    for kind in KINDS:
+        path = X.cutout_path(
+            base,
+            "mjd",
+            "dia_source_id",
+            F.lit(kind),
+            written_at,
+            object_id=F.col("dia_object_id") if by_object else None,
+            by_date=by_date,
+            compress=compress,
+        )
+        paths.append(F.when(_is_image(F.col(kind)), path).alias(f"{kind}_cutout_path"))
+    return rows.select("alert_id", "dia_source_id", *paths)
+
+
+def _is_image(raw: Column) -> Column:
+    """True for stamps whose verdict is valid; gzip members only are unpacked."""
+    zipped = F.coalesce(_starts(raw, GZIP_MAGIC), F.lit(False))
+    plain = F.when(zipped, _gunzip(F.when(zipped, raw))).otherwise(raw)
+    return F.coalesce(_starts(plain, IMAGE_MAGIC), F.lit(False))
+
+
+def compare_packets(packets: DataFrame) -> DataFrame:
+    """``compare_triplets`` for packets whose three stamps are images, from the packet's own row."""
+    nested = "diaSource" in packets.columns
+    names = _key_columns(nested)
+    rows = packets.select(
+        F.col(names["alert_id"]).alias("alert_id"),
+        F.col(names["dia_source_id"]).alias("dia_source_id"),
+        *[F.col(c).alias(k) for k, c in zip(KINDS, CUTOUT_FIELDS)],
+    )
+    given = reduce(Column.__and__, (F.octet_length(k) > 0 for k in KINDS))
+    compared = rows.where(given).select("alert_id", "dia_source_id", _compared_images(*KINDS).alias("_c"))
+    return compared.where("_c.images").select("alert_id", "dia_source_id", "_c.*").drop("images")
+
+
 def path_columns(planned: DataFrame) -> DataFrame:
     """Per alert the three ``<kind>_cutout_path`` columns of the flat schema."""
     return planned.groupBy("alert_id", "dia_source_id").agg(
@@ -305,6 +361,23 @@ def _compared(science: pd.Series, template: pd.Series, difference: pd.Series) ->
     return pd.DataFrame(found, columns=_COMPARED.names)
 
 
+def _unpacked(raw: bytes) -> bytes | None:
+    try:
+        return gzip.decompress(raw) if raw[:2] == bytes.fromhex(GZIP_MAGIC) else raw
+    except (OSError, EOFError, zlib.error):
+        return None
+
+
+@F.pandas_udf(T.StructType([*_COMPARED.fields, T.StructField("images", _FLAG)]))
+def _compared_images(science: pd.Series, template: pd.Series, difference: pd.Series) -> pd.DataFrame:
+    found = []
+    for row in zip(science, template, difference):
+        plain = [_unpacked(bytes(raw)) for raw in row]
+        images = all(p is not None and p.startswith(bytes.fromhex(IMAGE_MAGIC)) for p in plain)
+        found.append((*(_compare(*plain) if images else (None,) * len(_COMPARED)), images))
+    return pd.DataFrame(found, columns=[*_COMPARED.names, "images"])
+
+
 def compare_triplets(rows: DataFrame) -> DataFrame:
     """Shape match, residual RMS, peak and peak SNR of the difference image."""
     return rows.withColumn("_c", _compared(*KINDS)).select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -143,6 +144,7 @@ class FilterConfig:
     def apply(self, alerts: DataFrame, *, ordered: bool = True) -> DataFrame:
         """Matching rows. Order plus limit becomes a distributed top-k, not a full sort."""
         out = alerts.where(self.column(alerts.schema)) if self.conditions else alerts
+        out = _bound_days(out, *self._mjd_range())
         if self.order_by and (ordered or self.limit):
             lead = F.col(self.order_by)
             # The key breaks ties: results repeat, and equal values can be split
@@ -151,6 +153,22 @@ class FilterConfig:
             out = out.orderBy(lead.desc() if self.order_desc else lead.asc(), *ties)
         return out.limit(self.limit) if self.limit else out
 
+    def _mjd_range(self) -> tuple[float | None, float | None]:
+        """What rules that all have to hold leave of mjd."""
+        lows: list[float] = []
+        highs: list[float] = []
+        joined = self.combine_with.upper() == "AND" or len(self.conditions) == 1
+        for rule in self.conditions if joined else ():
+            value, upper = rule.value, rule.value2
+            if rule.field == "mjd" and isinstance(value, (int, float)):
+                if rule.operator in (">", ">=", "=", "BETWEEN"):
+                    lows.append(value)
+                if rule.operator in ("<", "<=", "="):
+                    highs.append(value)
+                elif rule.operator == "BETWEEN" and isinstance(upper, (int, float)):
+                    highs.append(upper)
+        return max(lows, default=None), min(highs, default=None)
+
     def to_dict(self) -> dict[str, Any]:
         rules = [
             {"field": r.field, "operator": r.operator, "value": r.value, "value2": r.value2}
@@ -220,21 +238,36 @@ def filter_rows(
     return alerts.where(as_udf(F.struct("*")))
 
 
-def prune_days(
-    alerts: DataFrame, start: float | None, end: float | None, partition_days: int = 1
-) -> DataFrame:
-    """Window on mjd that also bounds the ``mjd_day`` partition column, if there is one.
+DAY, DAY_WIDTH = "mjd_day", "partition_days"
+
+
+def with_day_width(alerts: DataFrame, partition_days: int) -> DataFrame:
+    """Note on the column ``mjd_day`` how many days a partition spans, for ``prune_days``."""
+    return alerts.withMetadata(DAY, {DAY_WIDTH: int(partition_days)})
+
+
+def day_width(alerts: DataFrame) -> int | None:
+    """Days of a partition; None where that is not noted or there is no such column."""
+    if DAY not in alerts.columns:
+        return None
+    return (alerts.schema[DAY].metadata or {}).get(DAY_WIDTH)
 
-    Catalyst cannot derive the partition predicate from the one on ``mjd``. A partition of
-    ``partition_days`` is named after its first day.
-    """
-    has_day = "mjd_day" in alerts.columns
+
+def _bound_days(alerts: DataFrame, start: float | None, end: float | None) -> DataFrame:
+    """The partitions that can hold mjd from ``start`` to ``end``. Catalyst cannot derive this from
+    a predicate on ``mjd``. Tables whose partition width is not known are left as they are."""
+    width = day_width(alerts)
+    if width is not None and start is not None and math.isfinite(start):
+        alerts = alerts.where(F.col(DAY) > math.floor(start) - width)
+    if width is not None and end is not None and math.isfinite(end):
+        alerts = alerts.where(F.col(DAY) <= math.floor(end))
+    return alerts
+
+
+def prune_days(alerts: DataFrame, start: float | None, end: float | None) -> DataFrame:
+    """Window on mjd that also bounds the partition column ``mjd_day``."""
     if start is not None:
         alerts = alerts.where(F.col("mjd") >= start)
-        if has_day:
-            alerts = alerts.where(F.col("mjd_day") > int(start // 1) - partition_days)
     if end is not None:
         alerts = alerts.where(F.col("mjd") <= end)
-        if has_day:
-            alerts = alerts.where(F.col("mjd_day") <= int(end // 1))
-    return alerts
+    return _bound_days(alerts, start, end)

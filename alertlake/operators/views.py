@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import math
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,17 +107,17 @@ def high_snr(alerts: DataFrame, min_snr: float = 50.0) -> DataFrame:
 
 
 def processing_window(
-    alerts: DataFrame, days: float = 15, limit: int | None = None, partition_days: int = 1
+    alerts: DataFrame, days: float = 15, limit: int | None = None
 ) -> DataFrame:
     """Rows within ``days`` of the newest mjd, newest first. The maximum is a scalar
-    subquery; on a table partitioned by ``mjd_day`` it is taken from the newest day and
+    subquery; on a table with noted day partitions it is taken from the newest one and
     bounds the partitions that are read."""
-    newest = F.max("mjd").alias("newest")
-    if "mjd_day" in alerts.columns:
+    newest, width = F.max("mjd").alias("newest"), f.day_width(alerts)
+    if width is not None:
         last_day = alerts.agg(F.max("mjd_day")).scalar()
         start = alerts.where(F.col("mjd_day") == last_day).agg(newest - days).scalar()
         rows = alerts.where(F.col("mjd") >= start)
-        rows = rows.where(F.col("mjd_day") >= last_day - F.lit(int(days) + 1 + partition_days))
+        rows = rows.where(F.col("mjd_day") >= last_day - F.lit(math.ceil(days) + width))
     else:
         rows = alerts.where(F.col("mjd") >= alerts.agg((F.max("mjd") - days).alias("s")).scalar())
     return f.FilterConfig(order_by="mjd", limit=limit).apply(rows)

@@ -33,7 +33,7 @@ def export(
     out = text_columns(rows) if fmt == "csv" else rows
     writer = (out.coalesce(1) if single_file else out).write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, escape='"')
     writer.format(fmt).save(path)
     return path
 
@@ -79,7 +79,7 @@ def append_daily(rows: DataFrame, path: str, moment: Column | None = None, fmt="
     out = text_columns(dated) if fmt == "csv" else dated
     writer = out.write.mode("append").partitionBy("year", "month", "day")
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, escape='"')
     writer.format(fmt).save(path)
 
 
@@ -92,7 +92,7 @@ def split_by_value(rows: DataFrame, column: str, path: str, fmt: str = "csv") ->
     out = text_columns(tagged).hint("rebalance", label)
     writer = out.write.mode("overwrite").partitionBy(label)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, escape='"')
     writer.format(fmt).save(path)
     return path
 
@@ -139,7 +139,7 @@ def merge_csv(
             ]
         )
     export(merged, path, "csv")
-    return storage.count_rows(spark.read.option("header", True).csv(path))
+    return storage.count_rows(spark.read.options(header=True, escape='"').csv(path))
 
 
 def csv_to_json(spark: SparkSession, source: str, path: str) -> str:

@@ -95,13 +95,17 @@ def ingest(
     track_state: bool = True,
     max_alerts: int | None = None,
 ) -> IngestStats:
-    """Run one batch. Failures are logged as a failed run and raised."""
+    """Run one batch. Failures are logged as a failed run and raised.
+
+    ``max_alerts`` takes the first rows by key, so that a replay takes the same; the rest is
+    left to the caller. Streams are bounded at their source instead.
+    """
     spark = alerts.sparkSession
     stats = IngestStats(run_id or uuid.uuid4().hex)
     began, clock = datetime.now(timezone.utc), time.monotonic()
     config = json.dumps(source_config or {}, sort_keys=True)
     try:
-        bounded = alerts.limit(max_alerts) if max_alerts else alerts
+        bounded = alerts.orderBy(*ALERT_KEY, "mjd").limit(max_alerts) if max_alerts else alerts
         _run(spark, bounded, lake, stats, skip_duplicates, track_state)
     except Exception as err:
         stats.elapsed_seconds = time.monotonic() - clock
@@ -146,6 +150,7 @@ def _run(
         prior = current_state(spark, lake, without_run=stats.run_id)
         flagged = _flag(fresh, prior, valid, small)
 
+    lake.note_day_width(spark)
     # 3. Append under the run; its state and counts are taken from what was written.
     target = lake.run_path("alerts", stats.run_id)
     storage.write_by_day(

@@ -54,10 +54,8 @@ class Processor:
     def summary(self, records: int, input_rows: int) -> str:
         return f"{records} records from {input_rows} alerts"
 
-    def input(
-        self, alerts: DataFrame, start_mjd: float, end_mjd: float, partition_days: int = 1
-    ) -> DataFrame:
-        window = prune_days(alerts, start_mjd, end_mjd, partition_days)
+    def input(self, alerts: DataFrame, start_mjd: float, end_mjd: float) -> DataFrame:
+        window = prune_days(alerts, start_mjd, end_mjd)
         test = self.select()
         return window if test is None else window.where(test)
 
@@ -290,7 +288,7 @@ class Runner:
         window = {"window_start_mjd": end - days, "window_end_mjd": end}
         try:
             base = self.alerts if source is None else source
-            rows = processor.input(base, end - days, end, self.lake.partition_days)
+            rows = processor.input(base, end - days, end)
             # Counts come from finished tables, not from metrics of running tasks, which
             # count twice when tasks are repeated.
             out.input_rows = storage.count_rows(rows)
@@ -339,8 +337,7 @@ class Runner:
     ) -> list[RunResult]:
         """All (or the named) processors over one window, which is kept for them to share."""
         end = X.as_of_mjd(as_of)
-        width = self.lake.partition_days
-        shared = prune_days(self.alerts, end - window_days, end, width).persist(
+        shared = prune_days(self.alerts, end - window_days, end).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         results = []

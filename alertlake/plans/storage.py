@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from alertlake import schema as SC
 from alertlake.functions import exprs as X
+from alertlake.operators.filters import with_day_width
 
 _RUN = T.StructField("run_id", T.StringType())
 
@@ -33,6 +34,7 @@ TABLES: dict[str, T.StructType] = {
             T.StructField("filter_config_hash", T.StringType()),
         ]
     ),
+    "layout": T.StructType([T.StructField("partition_days", T.IntegerType())]),
     "runs": SC.RUN_EVENT_SCHEMA,
     "processor_runs": SC.PROCESSOR_RUN_SCHEMA,
     "filters": SC.FILTER_LOG_SCHEMA,
@@ -65,7 +67,8 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
 @dataclass(frozen=True)
 class Lake:
     """Tables below one root folder. Alerts are partitioned by day; a sparse table may take
-    several days per partition."""
+    several days per partition. The widths that were written are noted in the table ``layout``,
+    and what ``read`` returns carries the widest, so that windows can skip partitions."""
 
     root: str
     partition_days: int = 1
@@ -80,7 +83,22 @@ class Lake:
         """The table, empty if nothing was written yet."""
         if not exists(spark, self.path(table)):
             return spark.createDataFrame([], TABLES[table])
-        return spark.read.schema(TABLES[table]).parquet(self.path(table))
+        rows = spark.read.schema(TABLES[table]).parquet(self.path(table))
+        width = self.day_width(spark) if table == "alerts" else None
+        return rows if width is None else with_day_width(rows, width)
+
+    def day_width(self, spark: SparkSession) -> int | None:
+        """The widest day partition that was noted; None if a table was written without a note."""
+        if not exists(spark, self.path("layout")):
+            return None
+        return self.read(spark, "layout").agg(F.max("partition_days")).first()[0]
+
+    def note_day_width(self, spark: SparkSession) -> None:
+        """Before alerts are written: keep the width, unless the alerts are older than notes."""
+        known = self.day_width(spark)
+        unnoted = known is None and exists(spark, self.path("alerts"))
+        if not unnoted and (known is None or known < self.partition_days):
+            self.append_row(spark, "layout", {"partition_days": self.partition_days})
 
     def append_row(self, spark: SparkSession, table: str, row: dict) -> None:
         """One log row; logs are small and read as latest-per-key."""
@@ -111,7 +129,12 @@ def compact_alerts(spark: SparkSession, lake: Lake, target: str) -> DataFrame:
     """Rewrite the alert table of many runs into one folder of day partitions."""
     rows = lake.read(spark, "alerts").drop("mjd_day")
     write_by_day(rows, target, partition_days=lake.partition_days)
-    return spark.read.parquet(target)
+    return read_by_day(spark, target, lake.partition_days)
+
+
+def read_by_day(spark: SparkSession, path: str, partition_days: int) -> DataFrame:
+    """A table of ``write_by_day`` with its width noted, so that windows skip partitions."""
+    return with_day_width(spark.read.parquet(path), partition_days)
 
 
 def count_rows(rows: DataFrame) -> int:

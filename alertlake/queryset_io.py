@@ -611,7 +611,7 @@ def _to_parquet(stream: DataFrame, label: str) -> DataFrame:
 add(
     "stream_dedupe",
     lambda t: _to_parquet(
-        SI.dedupe_stream(_line_stream(t).select("alert_id", "dia_source_id", "mjd"), "4000 days"),
+        SI.dedupe_stream(_line_stream(t).select("alert_id", "dia_source_id", "mjd")),
         "deduped",
     ).select("alert_id", "dia_source_id"),
     with_ctes("fx", "SELECT DISTINCT alert_id, dia_source_id FROM fx"),
@@ -713,10 +713,9 @@ def _daily_append(t: Tables) -> DataFrame:
     E.append_daily(slim.where(F.col("snr") >= 50), folder, month)
     return (
         t.spark.read.parquet(folder)
-        .where(F.col("year") == 1999)
-        .groupBy("month")
+        .groupBy("year", "month")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("month").cast("bigint").alias("month"), "n")
+        .select(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"), "n")
     )
 
 
@@ -725,8 +724,8 @@ add(
     _daily_append,
     with_ctes(
         "fx",
-        """SELECT month(ingested_at) AS month, count(*) AS n FROM fx
-        WHERE year(ingested_at) = 1999 GROUP BY 1""",
+        """SELECT year(ingested_at) AS year, month(ingested_at) AS month, count(*) AS n FROM fx
+        GROUP BY 1, 2""",
     ),
 )
 
@@ -851,15 +850,13 @@ add(
 )
 add(
     "cutout_paths",
-    lambda t: C.path_columns(
-        C.planned_paths(
-            C.classify_stamps(C.stamps_long(t.stamps)),
-            "out",
-            F.lit(AS_OF).cast("timestamp"),
-            by_date=False,
-            by_object=True,
-            compress=True,
-        )
+    lambda t: C.stamp_paths(
+        t.stamps,
+        "out",
+        F.lit(AS_OF).cast("timestamp"),
+        by_date=False,
+        by_object=True,
+        compress=True,
     ),
     with_ctes(
         "alerts",
@@ -915,14 +912,7 @@ add(
 )
 add(
     "cutout_compare",
-    lambda t: C.compare_triplets(
-        C.triplets(
-            C.classify_stamps(C.stamps_long(t.stamps), keep_data=True).where(
-                F.col("verdict") == "valid"
-            ),
-            ("alert_id", "dia_source_id"),
-        )
-    ).select(
+    lambda t: C.compare_packets(t.stamps).select(
         "alert_id",
         "shape_match",
         "shape",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -25,7 +27,27 @@ def build_session(app: str = "alertlake", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the session's executors, once: Python workers import it to run UDFs."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="alertlake-package-"), "alertlake.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(target)
+        _shipped.add(context.applicationId)
+    return spark
 
 
 _fallback_dir: str | None = None

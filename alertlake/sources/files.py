@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +52,15 @@ def _typed(text: Column, dtype: T.DataType) -> Column:
     return text.try_cast(dtype)
 
 
-def csv_to_alerts(rows: DataFrame) -> DataFrame:
-    """Text columns under either naming style -> flat alerts plus ``_malformed``.
+def _with_json(text: Column, from_columns: Column, kind: T.MapType) -> Column:
+    """A map written as JSON text, with the entries that have columns of their own; those win."""
+    written = F.coalesce(F.from_json(text, kind), F.create_map().cast(kind))
+    others = F.map_filter(written, lambda k, v: v.isNotNull() & ~F.map_contains_key(from_columns, k))
+    return F.map_concat(others, from_columns)
+
+
+def csv_to_alerts(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns under either naming style -> flat alerts plus ``_malformed`` and ``keep``.
 
     A row is malformed if a required value is missing or any value does not fit its type.
     """
@@ -73,31 +83,63 @@ def csv_to_alerts(rows: DataFrame) -> DataFrame:
             given[name] = X.typed_null(ALERT_SCHEMA[name].dataType)
         broken = broken | given[name].isNull()
 
-    others = [c for c in named.columns if c not in ALERT_COLUMNS]
-    given["trail_data"] = prefix_map(
-        lambda n: F.col(n).try_cast("double"), others, "trail", T.DoubleType()
-    )
-    given["pixel_flags"] = prefix_map(
-        lambda n: _typed(F.trim(F.col(n)), T.BooleanType()), others, "pixelFlags", T.BooleanType()
-    )
+    others = [c for c in named.columns if c not in ALERT_COLUMNS and c not in keep]
+    maps = {
+        "trail_data": prefix_map(
+            lambda n: F.col(n).try_cast("double"), others, "trail", T.DoubleType()
+        ),
+        "pixel_flags": prefix_map(
+            lambda n: _typed(F.trim(F.col(n)), T.BooleanType()), others, "pixelFlags", T.BooleanType()
+        ),
+    }
+    for name, from_columns in maps.items():
+        given[name] = from_columns
+        if name in named.columns:
+            given[name] = _with_json(F.col(name), from_columns, ALERT_SCHEMA[name].dataType)
     for flag in ("has_ss_source", "is_reassociation"):
         if flag in given:
             given[flag] = F.coalesce(given[flag], F.lit(False))
     if "ingested_at" in given:
         given["ingested_at"] = F.coalesce(given["ingested_at"], F.current_timestamp())
     columns = [complete(given, name).alias(name) for name in ALERT_COLUMNS]
-    return named.select(*columns, F.coalesce(broken, F.lit(False)).alias(_MALFORMED))
+    return named.select(*columns, *keep, F.coalesce(broken, F.lit(False)).alias(_MALFORMED))
 
 
 def _csv_reader(spark: SparkSession, sep: str, recursive: bool, pattern: str | None):
     # No schema inference (a second pass over the data): the header names the columns, all
     # are text. A file with another header is an error rather than shifted columns.
-    reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+    # Quotes inside values are doubled, as CSV writers do.
+    reader = spark.read.options(header=True, sep=sep, enforceSchema=False, escape='"')
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     return reader.option("pathGlobFilter", pattern) if pattern else reader
 
 
+def csv_by_header(
+    spark: SparkSession,
+    paths: str | list[str],
+    *,
+    sep: str = ",",
+    recursive: bool = False,
+    pattern: str | None = None,
+) -> list[DataFrame]:
+    """The files of ``paths`` as text columns, a DataFrame for each distinct header line.
+
+    The headers take a pass over the lines of the files' first blocks; what comes to the driver
+    is a row for each header with the paths of its files, which Spark lists there in any case.
+    """
+    reader = spark.read.options(recursiveFileLookup=recursive)
+    reader = reader.option("pathGlobFilter", pattern) if pattern else reader
+    lines = reader.text(paths).where("_metadata.file_block_start = 0").select(
+        "value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at")
+    )
+    heads = lines.groupBy("path").agg(F.min_by("value", "at").alias("head"))
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    # Order of the smallest path: columns come out in the same order every time.
+    found = sorted((r["paths"], r["head"]) for r in groups.collect())
+    return [_csv_reader(spark, sep, False, None).csv([unquote(p) for p in group]) for group, _ in found]
+
+
 def read_csv_text(
     spark: SparkSession,
     paths: str | list[str],
@@ -193,7 +235,9 @@ def read_alert_files(
                 continue
             if kind in ("csv", "tsv"):
                 sep = "\t" if kind == "tsv" else ","
-                part = read_csv_alerts(spark, path, sep=sep, recursive=True, pattern=pattern)
+                trees = csv_by_header(spark, path, sep=sep, recursive=True, pattern=pattern)
+                flat = reduce(DataFrame.unionByName, map(csv_to_alerts, trees))
+                part = flat.where(~F.col(_MALFORMED)).drop(_MALFORMED)
             else:
                 part = READERS[kind](
                     spark, path, recursiveFileLookup=True, pathGlobFilter=pattern
@@ -215,13 +259,34 @@ def read_dated_csv(
     """Daily files ``<prefix>_YYYYMMDD.csv`` below ``path``; inclusive date range.
 
     The date comes from the file name, so files outside the range are skipped when the
-    input is listed. Adds ``file_date``.
+    input is listed. Adds ``file_date``. Files may differ in their columns.
     """
-    text = read_csv_text(spark, path, recursive=True, pattern=pattern)
+    return concat_differing(_dated(spark, path, start, end, pattern))
+
+
+def read_dated_alerts(
+    spark: SparkSession,
+    path: str,
+    start: date | None = None,
+    end: date | None = None,
+    *,
+    pattern: str = "*.csv",
+) -> DataFrame:
+    """``read_dated_csv`` as flat alerts with ``file_date``; malformed rows are left out."""
+    parts = [csv_to_alerts(p, ["file_date"]) for p in _dated(spark, path, start, end, pattern)]
+    return reduce(DataFrame.unionByName, parts).where(~F.col(_MALFORMED)).drop(_MALFORMED)
+
+
+def _dated(
+    spark: SparkSession, path: str, start: date | None, end: date | None, pattern: str
+) -> list[DataFrame]:
     stamp = F.regexp_extract(F.col("_metadata.file_name"), _DATE_IN_NAME, 1)
     day = F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit("yyyyMMdd")).cast("date")
-    if start is not None:
-        text = text.where(day >= F.lit(start))
-    if end is not None:
-        text = text.where(day <= F.lit(end))
-    return text.withColumn("file_date", day)
+    parts = []
+    for text in csv_by_header(spark, path, recursive=True, pattern=pattern):
+        if start is not None:
+            text = text.where(day >= F.lit(start))
+        if end is not None:
+            text = text.where(day <= F.lit(end))
+        parts.append(text.withColumn("file_date", day))
+    return parts

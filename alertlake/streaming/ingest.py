@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from alertlake.functions import exprs as X
 from alertlake.plans.ingest import ingest
 from alertlake.plans.storage import Lake
 from alertlake.schema import ALERT_KEY
@@ -24,7 +23,10 @@ def start_ingest(
 ) -> StreamingQuery:
     """Each micro-batch is one ingest run named after its batch id. A batch that is replayed
     after a failure overwrites its own folders, so every alert is stored once. Offsets are
-    in the checkpoint. Without ``every`` the query stops when the input is used up."""
+    in the checkpoint. Without ``every`` the query stops when the input is used up. A batch is
+    bounded at the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``): rows left out
+    here would be lost, as the checkpoint goes past the whole batch."""
+    _refuse_limit(options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         ingest(batch, lake, run_id=f"{name}-{batch_id}", source_name=name, **options)
@@ -45,6 +47,7 @@ def start_message_ingest(
     **options,
 ) -> StreamingQuery:
     """Framed messages: those that do not decode are kept under ``undecoded``."""
+    _refuse_limit(options)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{batch_id}"
@@ -57,6 +60,11 @@ def start_message_ingest(
     return writer.trigger(**trigger).start()
 
 
+def _refuse_limit(options: dict) -> None:
+    if options.get("max_alerts"):
+        raise ValueError("max_alerts would lose the rest of a micro-batch: bound the source instead")
+
+
 def run_bounded(query: StreamingQuery, seconds: float | None = None) -> bool:
     """Wait until the query is done, or stop it after ``seconds``. True if it finished."""
     if seconds is None:
@@ -69,10 +77,19 @@ def run_bounded(query: StreamingQuery, seconds: float | None = None) -> bool:
 
 
 def dedupe_stream(stream: DataFrame, within: str = "2 days") -> DataFrame:
-    """Drop repeats of (alert_id, dia_source_id). The watermark on the observation time
-    bounds the state; repeats from further back are caught against the stored table."""
-    timed = stream.withColumn("observed_at", X.mjd_to_timestamp(F.col("mjd")))
-    unique = timed.withWatermark("observed_at", within).dropDuplicatesWithinWatermark(
-        list(ALERT_KEY)
-    )
-    return unique.drop("observed_at")
+    """Drop repeats of (alert_id, dia_source_id) that arrive within ``within`` of each other.
+
+    The watermark is on the time of arrival, which bounds the state and makes no row late: an
+    alert observed long ago is kept if it is new. Repeats from further back are caught
+    against the stored table.
+    """
+    arrived = fresh_name(stream.columns, "arrived_at")
+    timed = stream.withColumn(arrived, F.current_timestamp())
+    unique = timed.withWatermark(arrived, within).dropDuplicatesWithinWatermark(list(ALERT_KEY))
+    return unique.drop(arrived)
+
+
+def fresh_name(taken: list[str], name: str) -> str:
+    while name in taken:
+        name = f"_{name}"
+    return name
