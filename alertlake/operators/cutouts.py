@@ -288,13 +288,13 @@ def _shape(pixels: np.ndarray) -> str:
 def _image_stats(raw: bytes | None) -> tuple:
     none = (None,) * 9
     if not raw:
-        return ("empty", "Empty file", *none)
+        return ("empty", "the stamp has no bytes", *none)
     try:
         pixels = decode_image(bytes(raw))
     except BadImage as err:
         return ("corrupt", str(err), *none)
     if pixels is None:
-        return ("no_data", "No data in primary HDU", *none)
+        return ("no_data", "the first header announces no pixels", *none)
     values = pixels.astype("f8")
     figures = [float(fn(values)) for fn in (np.min, np.max, np.mean, np.median, np.std)]
     return (

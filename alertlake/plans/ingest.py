@@ -9,41 +9,30 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import asdict, dataclass
+from collections import Counter
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake.operators import dedupe, reassoc, sets, state, validate
 from alertlake.plans import storage
 from alertlake.plans.storage import Lake
-from alertlake.schema import ALERT_COLUMNS, ALERT_KEY, SOURCE_STATE_SCHEMA
+from alertlake.schema import ALERT_COLUMNS, ALERT_KEY, RUN_EVENT_SCHEMA, SOURCE_STATE_SCHEMA
 from alertlake.session import scratch_path
 
 # Batches up to this many rows have their keys broadcast (two numbers each: ~16 MB).
 SMALL_BATCH_ROWS = 1_000_000
-
-
-@dataclass
-class IngestStats:
-    run_id: str
-    alerts_received: int = 0
-    alerts_stored: int = 0
-    alerts_failed: int = 0
-    new_sources: int = 0
-    updated_sources: int = 0
-    reassociations: int = 0
-    elapsed_seconds: float = 0.0
-
-    @property
-    def success_rate(self) -> float:
-        """Percent stored of all received; 0 if nothing came in."""
-        return 100.0 * self.alerts_stored / self.alerts_received if self.alerts_received else 0.0
-
-    @property
-    def alerts_per_second(self) -> float:
-        return self.alerts_stored / self.elapsed_seconds if self.elapsed_seconds > 0 else 0.0
+#: Counts of a run, from the tables that it has written.
+COUNTS = (
+    "alerts_received",
+    "alerts_ingested",
+    "alerts_failed",
+    "new_sources",
+    "updated_sources",
+    "reassociations_detected",
+    "cutouts_saved",
+)
 
 
 def current_state(spark: SparkSession, lake: Lake, without_run: str | None = None) -> DataFrame:
@@ -94,79 +83,95 @@ def ingest(
     skip_duplicates: bool = True,
     track_state: bool = True,
     max_alerts: int | None = None,
-) -> IngestStats:
-    """Run one batch. Failures are logged as a failed run and raised.
+) -> Row:
+    """Run one batch and return its row of the run log. The run is logged as running when it
+    begins; a failure is logged as a failed run and raised.
 
     ``max_alerts`` takes the first rows by key, so that a replay takes the same; the rest is
     left to the caller. Streams are bounded at their source instead.
     """
     spark = alerts.sparkSession
-    stats = IngestStats(run_id or uuid.uuid4().hex)
-    began, clock = datetime.now(timezone.utc), time.monotonic()
-    config = json.dumps(source_config or {}, sort_keys=True)
+    now = datetime.now(timezone.utc)
+    row = dict.fromkeys(RUN_EVENT_SCHEMA.fieldNames()) | {
+        "run_id": run_id or uuid.uuid4().hex,
+        "source_name": source_name,
+        "source_config": json.dumps(source_config or {}, sort_keys=True),
+        "started_at": now,
+        "event_at": now,
+        "status": "running",
+    }
+    lake.append_row(spark, "runs", row)
+    clock, counts = time.monotonic(), Counter()
     try:
         bounded = alerts.orderBy(*ALERT_KEY, "mjd").limit(max_alerts) if max_alerts else alerts
-        _run(spark, bounded, lake, stats, skip_duplicates, track_state)
+        _run(spark, bounded, lake, row["run_id"], counts, skip_duplicates, track_state)
+        row["status"] = "completed"
     except Exception as err:
-        stats.elapsed_seconds = time.monotonic() - clock
-        log_run(spark, lake, stats, source_name, config, began, "failed", str(err)[:2000])
+        row |= {"status": "failed", "error_message": str(err)}
         raise
-    stats.elapsed_seconds = time.monotonic() - clock
-    log_run(spark, lake, stats, source_name, config, began, "completed")
-    return stats
+    finally:
+        now = datetime.now(timezone.utc)
+        taken = json.dumps({"elapsed_seconds": time.monotonic() - clock})
+        row |= {c: counts[c] for c in COUNTS} | {"completed_at": now, "event_at": now, "metadata": taken}
+        lake.append_row(spark, "runs", row)
+    return Row(**row)
 
 
 def _run(
     spark: SparkSession,
     alerts: DataFrame,
     lake: Lake,
-    stats: IngestStats,
+    run_id: str,
+    counts: Counter,
     skip_duplicates: bool,
     track_state: bool,
 ) -> None:
+    """Stores the batch; ``counts`` is filled as the steps are done."""
     # 1. Checked rows go to a written table in the shared folder, without a shuffle. It cuts
     # the lineage, the steps below read single columns of it instead of parsing the input
     # again, and the counts come from it (metrics of running tasks repeat with the tasks).
-    staging = scratch_path(spark, f"staging-{stats.run_id}")
+    staging = scratch_path(spark, f"staging-{run_id}")
     validate.annotate_violations(prepare(alerts)).write.parquet(staging)
     staged = spark.read.parquet(staging)
     accepted = F.size(validate.FAILED) == 0
     valid = staged.where(accepted).drop(validate.FAILED)
-    stats.alerts_received, stats.alerts_failed = staged.agg(
+    counts["alerts_received"], counts["alerts_failed"] = staged.agg(
         F.count(F.lit(1)), F.count_if(~accepted)
     ).first()
-    small = stats.alerts_received <= SMALL_BATCH_ROWS
-    if stats.alerts_failed:
+    small = counts["alerts_received"] <= SMALL_BATCH_ROWS
+    if counts["alerts_failed"]:
         staged.where(~accepted).write.mode("overwrite").parquet(
-            lake.run_path("quarantine", stats.run_id)
+            lake.run_path("quarantine", run_id)
         )
 
     # 2. Rows not stored by another run, flagged against the stored state of their source.
-    others = lake.read(spark, "alerts").where(F.col("run_id") != stats.run_id)
+    others = lake.read(spark, "alerts").where(F.col("run_id") != run_id)
     keys = ("alert_id",) if skip_duplicates else ALERT_KEY
     fresh = sets.not_stored(dedupe.dedupe_alerts(valid), others, keys=keys, small_batch=small)
     flagged = fresh.withColumn("is_new_source", F.lit(None).cast("boolean"))
     if track_state:
-        prior = current_state(spark, lake, without_run=stats.run_id)
+        prior = current_state(spark, lake, without_run=run_id)
         flagged = _flag(fresh, prior, valid, small)
 
     lake.note_day_width(spark)
     # 3. Append under the run; its state and counts are taken from what was written.
-    target = lake.run_path("alerts", stats.run_id)
+    target = lake.run_path("alerts", run_id)
     storage.write_by_day(
         flagged.select(*ALERT_COLUMNS, "is_new_source"),
         target,
         partition_days=lake.partition_days,
     )
-    written = lake.read(spark, "alerts").where(F.col("run_id") == stats.run_id)
-    stats.alerts_stored, stats.reassociations, stats.new_sources = written.agg(
+    written = lake.read(spark, "alerts").where(F.col("run_id") == run_id)
+    stored = ("alerts_ingested", "reassociations_detected", "new_sources")
+    found = written.agg(
         F.count(F.lit(1)), F.count_if("is_reassociation"), F.count_if("is_new_source")
     ).first()
+    counts.update(dict(zip(stored, found, strict=True)))
     if track_state:
-        stats.updated_sources = stats.alerts_stored - stats.new_sources
+        counts["updated_sources"] = counts["alerts_ingested"] - counts["new_sources"]
         state.source_state(written).select(*SOURCE_STATE_SCHEMA.fieldNames()).write.mode(
             "overwrite"
-        ).parquet(lake.run_path("states", stats.run_id))
+        ).parquet(lake.run_path("states", run_id))
     storage.drop_directory(spark, staging)
 
 
@@ -184,34 +189,6 @@ def _flag(fresh: DataFrame, prior: DataFrame, probe: DataFrame, small: bool) ->
     )
 
 
-def log_run(
-    spark: SparkSession,
-    lake: Lake,
-    stats: IngestStats,
-    source_name: str,
-    source_config: str,
-    began: datetime,
-    status: str,
-    error: str | None = None,
-) -> None:
-    now = datetime.now(timezone.utc)
-    row = {
-        **asdict(stats),
-        "alerts_ingested": stats.alerts_stored,
-        "reassociations_detected": stats.reassociations,
-        "cutouts_saved": 0,
-        "source_name": source_name,
-        "source_config": source_config,
-        "started_at": began,
-        "completed_at": now,
-        "event_at": now,
-        "status": status,
-        "error_message": error,
-        "metadata": json.dumps({"elapsed_seconds": stats.elapsed_seconds}),
-    }
-    lake.append_row(spark, "runs", row)
-
-
 def latest_runs(spark: SparkSession, lake: Lake) -> DataFrame:
     """One row per run: its newest event."""
     return dedupe.latest_per_key(lake.read(spark, "runs"), ["run_id"], ["event_at"])

@@ -6,12 +6,11 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +20,7 @@ from alertlake.operators import aggregates
 from alertlake.operators.filters import prune_days
 from alertlake.plans import storage
 from alertlake.plans.storage import Lake
+from alertlake.schema import PROCESSOR_RUN_SCHEMA
 
 
 class Processor:
@@ -83,11 +83,11 @@ class GroupProcessor(Processor):
     Python comes in two forms. ``partial`` and ``combine`` work in two steps, so a hot group
     never sits in one task: ``partial`` condenses the part of a group found in one Arrow
     batch to a few rows, ``combine`` makes the record from those. ``per_group`` sees a whole
-    group at once; a group above ``max_group_rows`` is an error, never cut short.
+    group at once and so needs groups that fit in a task: it is for keys that are bounded by
+    what they are, such as one night of one object.
     """
 
     group_by = "dia_object_id"
-    max_group_rows = 1_000_000
     result_schema: T.StructType | str = ""
     partial_schema: T.StructType | str = ""
 
@@ -139,16 +139,8 @@ class GroupProcessor(Processor):
         return parts.groupBy(key).applyInPandas(self._record(self.combine), self.result_schema)
 
     def _whole_groups(self, rows: DataFrame) -> DataFrame:
-        limit, key = self.max_group_rows, self.group_by
-        large = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-        guard = F.when(
-            F.coalesce(large.scalar(), F.lit(0)) > limit,
-            F.raise_error(F.lit(f"a group of {key} has more than {limit} rows: use partial/combine")),
-        ).otherwise(F.lit(True))
-        return (
-            rows.where(guard)
-            .groupBy(key)
-            .applyInPandas(self._record(self.per_group), self.result_schema)
+        return rows.groupBy(self.group_by).applyInPandas(
+            self._record(self.per_group), self.result_schema
         )
 
 
@@ -212,13 +204,7 @@ class MinimoonCandidates(RowProcessor):
         return result.orderBy("mjd", "alert_id", "dia_source_id")
 
     def metadata(self) -> dict[str, Any]:
-        return {
-            "criteria": {
-                "extendedness_range": [X.POINT_MAX, X.EXTENDED_MIN],
-                "min_snr": self.min_snr,
-                "requires_sso": True,
-            }
-        }
+        return {"where": [str(self.select()), str(self.condition())]}
 
 
 @register
@@ -247,18 +233,17 @@ class ReassociationTracker(Processor):
 # --- running --------------------------------------------------------------------------------
 
 
-@dataclass
-class RunResult:
-    processor_name: str
-    success: bool
-    run_id: str = ""
-    record_count: int = 0
-    input_rows: int = 0
-    summary: str = ""
-    metadata: dict[str, Any] = field(default_factory=dict)
+@dataclass(frozen=True)
+class Outcome:
+    """What became of one processor: its row of the run log, and the folder of its results."""
+
+    row: dict[str, Any]
     path: str | None = None
-    error_message: str | None = None
-    elapsed_seconds: float = 0.0
+
+    @property
+    def status(self) -> str:
+        """completed, failed, or skipped for want of alerts."""
+        return self.row["status"]
 
 
 class Runner:
@@ -276,55 +261,60 @@ class Runner:
         save: bool = True,
         source: DataFrame | None = None,
         **params: Any,
-    ) -> RunResult:
-        began = time.monotonic()
-        cls = get(name)
-        if cls is None:
-            return RunResult(name, False, error_message=f"unknown processor {name!r}")
-        processor = cls(**params)
-        out = RunResult(name, True, uuid.uuid4().hex)
-        days = processor.default_window_days if window_days is None else window_days
-        end = X.as_of_mjd(as_of)
-        window = {"window_start_mjd": end - days, "window_end_mjd": end}
+    ) -> Outcome:
+        """Never raises: what goes wrong is in the outcome. Skipped and empty runs are not logged."""
+        clock, path = time.monotonic(), None
+        row = dict.fromkeys(PROCESSOR_RUN_SCHEMA.fieldNames()) | {
+            "run_id": uuid.uuid4().hex,
+            "processor_name": name,
+            "record_count": 0,
+            "input_rows": 0,
+            "status": "completed",
+        }
+        about: dict[str, Any] = {}
         try:
-            base = self.alerts if source is None else source
-            rows = processor.input(base, end - days, end)
+            processor = _REGISTRY[name](**params)
+            days = processor.default_window_days if window_days is None else window_days
+            end = X.as_of_mjd(as_of)
+            row |= {
+                "processor_version": processor.version,
+                "window_start_mjd": end - days,
+                "window_end_mjd": end,
+            }
+            rows = processor.input(self.alerts if source is None else source, end - days, end)
             # Counts come from finished tables, not from metrics of running tasks, which
             # count twice when tasks are repeated.
-            out.input_rows = storage.count_rows(rows)
-            if out.input_rows < processor.min_alerts:
-                need = processor.min_alerts
-                out.summary = f"Insufficient data: {out.input_rows} alerts (need {need})"
-                out.metadata = {"skipped": True, "reason": "insufficient_data"}
+            row["input_rows"] = storage.count_rows(rows)
+            if row["input_rows"] < processor.min_alerts:
+                row["status"] = "skipped"
+                row["summary"] = f"{processor.min_alerts} alerts wanted, {row['input_rows']} there"
             else:
-                self._execute(processor, rows, out, save)
-                out.metadata = {**processor.metadata(), **window, "input_rows": out.input_rows}
+                path, row["record_count"] = self._keep(processor, rows, row["run_id"], save)
+                row["summary"] = processor.summary(row["record_count"], row["input_rows"])
+                about = processor.metadata()
+        except KeyError as err:
+            row |= {"status": "failed", "error_message": f"no entry {err}"}
         except Exception as err:
-            out.success, out.error_message = False, str(err)[:2000]
-        out.elapsed_seconds = time.monotonic() - began
-        if save and (out.record_count or not out.success):
-            self._log(processor, out, window)
-        return out
-
-    def _execute(self, processor: Processor, rows: DataFrame, out: RunResult, save: bool) -> None:
-        result = processor.output(rows)
-        if save:
-            out.path = self.lake.run_path(f"results/{processor.name}", out.run_id)
-            result.write.mode("overwrite").parquet(out.path)
-            result = rows.sparkSession.read.schema(result.schema).parquet(out.path)
-        out.record_count = storage.count_rows(result)
-        out.summary = processor.summary(out.record_count, out.input_rows)
-
-    def _log(self, processor: Processor, out: RunResult, window: dict[str, float]) -> None:
-        row = {
-            **out.__dict__,
-            **window,
-            "processor_version": processor.version,
-            "metadata": json.dumps(out.metadata, sort_keys=True),
+            row |= {"status": "failed", "error_message": str(err)}
+        row |= {
+            "elapsed_seconds": time.monotonic() - clock,
             "processed_at": datetime.now(timezone.utc),
-            "status": "completed" if out.success else "failed",
+            "metadata": json.dumps(about, sort_keys=True),
         }
-        self.lake.append_row(self.alerts.sparkSession, "processor_runs", row)
+        if save and (row["record_count"] or row["status"] == "failed"):
+            self.lake.append_row(self.alerts.sparkSession, "processor_runs", row)
+        return Outcome(row, path)
+
+    def _keep(
+        self, processor: Processor, rows: DataFrame, run_id: str, save: bool
+    ) -> tuple[str | None, int]:
+        """Where the results are, if they are kept, and how many there are."""
+        result = processor.output(rows)
+        if not save:
+            return None, storage.count_rows(result)
+        path = self.lake.run_path(f"results/{processor.name}", run_id)
+        result.write.mode("overwrite").parquet(path)
+        return path, storage.count_rows(rows.sparkSession.read.schema(result.schema).parquet(path))
 
     def run_all(
         self,
@@ -334,20 +324,11 @@ class Runner:
         as_of: datetime | None = None,
         save: bool = True,
         stop_on_error: bool = False,
-    ) -> list[RunResult]:
-        """All (or the named) processors over one window, which is kept for them to share."""
-        end = X.as_of_mjd(as_of)
-        shared = prune_days(self.alerts, end - window_days, end).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        results = []
-        try:
-            for name in names if names is not None else sorted(_REGISTRY):
-                results.append(
-                    self.run(name, window_days=window_days, as_of=as_of, save=save, source=shared)
-                )
-                if stop_on_error and not results[-1].success:
-                    break
-        finally:
-            shared.unpersist()
-        return results
+    ) -> list[Outcome]:
+        """All (or the named) processors over one window; each pushes its own predicate into the scan."""
+        outcomes: list[Outcome] = []
+        for name in names if names is not None else sorted(_REGISTRY):
+            outcomes.append(self.run(name, window_days=window_days, as_of=as_of, save=save))
+            if stop_on_error and outcomes[-1].status == "failed":
+                break
+        return outcomes

@@ -159,7 +159,6 @@ RUN_EVENT_SCHEMA = T.StructType(
         T.StructField("event_at", T.TimestampType()),
     ]
 )
-RUN_STATUSES = ("pending", "running", "completed", "failed", "cancelled")
 
 # One row per processor run; the records themselves live in a typed table per processor.
 PROCESSOR_RUN_SCHEMA = T.StructType(
