@@ -3,7 +3,8 @@
 ``median``/``percentile`` keep every distinct value of a group in one aggregation buffer.
 Here ``percentile_approx`` (mergeable, bounded buffer, guaranteed rank error) first brackets
 the middle of each group; a second narrow pass counts what lies below the bracket and the
-few values inside it, and the exact middle is read off their running count.
+few values inside it, and the exact middle is read off their running count. Should a group's
+middle lie outside its bracket, that group alone is computed by ``percentile``.
 """
 
 from __future__ import annotations
@@ -49,10 +50,16 @@ def exact_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str])
     middle = ranked.groupBy(*group).agg(
         at(F.floor((F.col("n") - 1) / 2)).alias("a"), at(F.floor(F.col("n") / 2)).alias("b")
     )
-    missed = F.raise_error(F.lit("median outside its bracket"))
-    exact = F.coalesce((F.col("a") + F.col("b")) / 2, missed)
+    middle = middle.select(*group, ((F.col("a") + F.col("b")) / 2).alias("median"))
+    missed = middle.where(F.col("median").isNull()).select(*group)
+    again = (
+        values.join(F.broadcast(missed), group, "left_semi")
+        .groupBy(*group)
+        .agg(F.percentile("v", 0.5).alias("median"))
+    )
     return (
-        middle.withColumn("median", exact)
+        middle.where(F.col("median").isNotNull())
+        .unionByName(again)
         .groupBy(*keys)
         .agg(*[F.max(F.when(F.col("m") == c, F.col("median"))).alias(f"{c}_median") for c in columns])
     )

@@ -190,7 +190,8 @@ def expire(
 ) -> list[str]:
     """Drop old day partitions, after copying them below ``archive`` if one is given.
 
-    A dry run, the default, only lists them.
+    A dry run, the default, only lists them. The archive has a folder for each day of expiry;
+    repeating an expiry that broke off writes its partitions again instead of adding to them.
     """
     old = expired_days(spark, path, days, as_of, partition_days)
     if dry_run or not old:
@@ -202,7 +203,10 @@ def expire(
         rows = spark.read.option("basePath", path).format(fmt)
         if fmt == "csv":
             rows = rows.option("header", True)
-        writer = rows.load(old).write.mode("append").partitionBy(*kept)
+        on = as_of or datetime.now(timezone.utc).date()
+        dated = rows.load(old).withColumn("archived_on", F.lit(on.isoformat()))
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy("archived_on", *kept)
         (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(archive)
     for folder in old:
         storage.drop_directory(spark, folder)

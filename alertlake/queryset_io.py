@@ -796,6 +796,7 @@ def _retained(t: Tables) -> DataFrame:
     live = t.spark.read.parquet(f"{base}/live").withColumn("place", F.lit("live"))
     if old:
         archived = t.spark.read.parquet(f"{base}/archive").withColumn("place", F.lit("archive"))
+        archived = archived.drop("archived_on")
         live = live.unionByName(archived)
     return live.groupBy("place").agg(
         F.count(F.lit(1)).alias("n"), F.min("mjd").alias("lo"), F.max("mjd").alias("hi")

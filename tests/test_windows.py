@@ -121,3 +121,26 @@ def test_package_reaches_workers_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "VERDICT corrupt" in run.stdout, run.stderr[-2000:]
+
+
+def test_medians_outside_their_bracket(spark, monkeypatch):
+    from alertlake.operators import quantiles
+
+    rows = spark.createDataFrame([("d", float(v), None if v % 2 else 1.0) for v in range(101)], "k string, x double, y double")
+    want = quantiles.exact_medians(rows, ["k"], ["x", "y"]).first()
+    assert (want.x_median, want.y_median) == (50.0, 1.0)
+    monkeypatch.setattr(quantiles, "MARGIN", -0.3)  # brackets that hold nothing
+    assert quantiles.exact_medians(rows, ["k"], ["x", "y"]).first() == want
+
+
+def test_registry_reads_orbits_and_loci(spark, tmp_path):
+    from alertlake.sources import registry
+
+    (tmp_path / "o.csv").write_text("name,a,e,inc,arg,node,true_anomaly,epoch_jd\nCeres,2.7,0.1,10.6,73,80,1,2459000.5\n")
+    row = registry.read(spark, "orbits", str(tmp_path / "o.csv")).first()
+    assert (row.ra, row.ss_object_id, row.mjd) == (80.0, "Ceres", 59000.0)
+    (tmp_path / "l.json").write_text(
+        '{"locus_id":"L","ra":1.0,"dec":2.0,"tags":["comet"],"alerts":[{"alert_id":"5","mjd":60000.5,"properties":{"diaSourceId":7}}]}\n'
+    )
+    assert registry.read(spark, "locus_history", str(tmp_path / "l.json")).first().dia_source_id == 7
+    assert {"messages", "locus_latest"} <= set(registry.names())
