@@ -14,8 +14,9 @@ the smallest hash is selected as a fingerprint (the last of equals). So two text
    own first occurrence in the same text, only the part after that occurrence goes.
 
 A span hash has 64 bits of hashed words; equal hashes of different spans have a chance of about
-n*n/2**65 for n repeated spans. Within an Arrow batch repeats are settled at once, so that what
-is shuffled of a passage is one row for each batch with it, not one for each occurrence.
+n*n/2**65 for n repeated spans. Within a chunk of texts repeats are settled at once, so that what
+is shuffled of a passage is one row for each chunk with it, not one for each occurrence. Of texts
+that are whole copies only the first is looked at.
 """
 
 from __future__ import annotations
@@ -29,33 +30,40 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from alertlake.llm.common import fresh, raw_texts, with_computed
+from alertlake.llm.common import fresh, raw_texts, slices
 
 SPAN = 50
 LINE = 25
-#: Words whose hashes are held at once for several texts (a longer text is taken by itself).
+#: Words whose hashes are held at once (texts of 256 rows more, or one long text, can be above it).
 WORDS_AT_ONCE = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _power(base: int, n: int) -> np.ndarray:
+    """base**0 to base**(n-1), modulo 2**64; kept for the next call."""
+    if base not in _powers or len(_powers[base]) < n:
+        out = np.full(n, base, np.uint64)
+        out[:1] = 1
+        _powers[base] = np.multiply.accumulate(out)
+    return _powers[base][:n]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w) for w in words), np.uint64, len(words))
+    return np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64)
 
 
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -65,17 +73,39 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(hashes * _powers(_BASE_INVERSE, n), out=sums[1:])
-        return _mixed((sums[width:] - sums[:-width]) * _powers(_BASE, n - width + 1))
+        np.cumsum(hashes * _power(_BASE_INVERSE, n), out=sums[1:])
+        return _mixed((sums[width:] - sums[:-width]) * _power(_BASE, n - width + 1))
 
 
 def selected(lines: np.ndarray, window: int) -> np.ndarray:
     """For each ``window`` consecutive line hashes the place of the smallest, the last of equals."""
     if len(lines) < window:
         return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(lines, window)
-    last = window - 1 - views[:, ::-1].argmin(axis=1)
-    return last + np.arange(len(views))
+    least, at, width = lines, np.arange(len(lines)), 1
+    while width < window:
+        step = min(width, window - width)
+        right = least[step:] <= least[:-step]
+        least = np.where(right, least[step:], least[:-step])
+        at = np.where(right, at[step:], at[:-step])
+        width += step
+    return at
+
+
+class Chunk:
+    """The words of several texts, one after the other."""
+
+    def __init__(self, texts: list[tuple], words: list[bytes], lengths: list[int]) -> None:
+        self.texts = np.array([t[:2] for t in texts], np.int64).reshape(-1, 2)
+        self.more = [t[2:] for t in texts]
+        self.starts = np.r_[0, np.cumsum(lengths)]
+        hashes = word_hashes(words)
+        self.lines, self.spans = rolling(hashes, LINE), rolling(hashes, SPAN)
+        chosen = selected(self.lines, SPAN - LINE + 1)
+        self.row = np.repeat(np.arange(len(lengths)), lengths)
+        ends = self.starts[1:][self.row]
+        #: First words of the spans that lie in one text, and the line each has selected.
+        self.firsts = np.flatnonzero(np.arange(len(chosen)) + SPAN <= ends[: len(chosen)])
+        self.chosen = chosen[self.firsts]
 
 
 def _repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,159 +114,148 @@ def _repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return new, np.diff(np.r_[new, len(keys)])
 
 
-class _Rows:
-    """Collects (key, row, place) of several texts and gives them out sorted."""
-
-    def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
-        self.rows: list[np.ndarray] = []
-        self.places: list[np.ndarray] = []
-        self.n = 0
-
-    def add(self, keys: np.ndarray, row: int, places: np.ndarray, words: int) -> None:
-        self.keys.append(keys)
-        self.rows.append(np.full(len(keys), row, np.int64))
-        self.places.append(places.astype(np.int64))
-        self.n += words
-
-    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys, rows, places = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (self.keys, self.rows, self.places))
-        order = np.lexsort((places, rows, keys))
-        self.__init__()
-        return keys[order], rows[order], places[order]
-
-
-# Rows that leave a worker. A text is known by its document and the hash of its bytes. Settled rows
-# are results already; others are to be compared with rows of the same key in other batches.
+# Rows that leave a worker. A text is known by its document and a hash of its bytes. Settled rows
+# are results already; others are to be compared with rows of the same key from other chunks. Rows
+# leave in the order of their texts, which keeps them small when they are shuffled.
 FOUND = T.StructType(
-    [T.StructField("settled", T.BooleanType())]
-    + [T.StructField(x, T.LongType()) for x in ("key", "doc", "sig", "place", "until")]
+    [T.StructField("settled", T.BooleanType()), T.StructField("key", T.LongType())]
+    + [T.StructField(x, T.LongType()) for x in ("doc", "sig", "place", "size")]
 )
 TEXT_KEY = ["doc", "sig"]
+#: Stands for a null id, whose rows are left as they are.
+NO_DOC = -(1 << 63)
 
 
-def _table(settled: bool, key, texts: np.ndarray, place, until) -> pa.RecordBatch:
-    columns = [key.view(np.int64), texts[:, 0], texts[:, 1], place, until]
-    arrays = [pa.array(np.full(len(place), settled)), *(pa.array(x, pa.int64()) for x in columns)]
+def _table(settled: np.ndarray, key: np.ndarray, texts: np.ndarray, place, size) -> pa.RecordBatch:
+    columns = [key.view(np.int64), texts[:, 0], texts[:, 1], place, size]
+    order = np.lexsort((place, texts[:, 1], texts[:, 0]))
+    arrays = [pa.array(settled[order]), *(pa.array(x[order], pa.int64()) for x in columns)]
     return pa.RecordBatch.from_arrays(arrays, names=FOUND.names)
 
 
-def _settled(texts: np.ndarray, place: np.ndarray, until: np.ndarray) -> pa.RecordBatch:
-    """Settled rows get a key of their own, so that they spread."""
+def _own_keys(texts: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Keys of settled rows, which are to spread."""
     with np.errstate(over="ignore"):
-        key = _mixed(texts[:, 0].view(np.uint64) * np.uint64(_BASE) + place.view(np.uint64))
-    return _table(True, key, texts, place, until)
-
-
-def _texts(batches: Iterable[pa.RecordBatch], at: tuple[int, ...]) -> Iterator[tuple]:
-    """((document, hash), words, …) of the rows; ``at`` has the columns of document, hash, text, ….
-
-    Rows without a document, without text, or with a null in one of the further columns are left out.
-    """
-    for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            doc, sig, raw, *more = (part.column(i) for i in at)
-            for d, x, r, *rest in zip(
-                doc.to_pylist(), sig.to_pylist(), raw.cast(pa.binary()).to_pylist(), *(m.to_pylist() for m in more), strict=True
-            ):
-                if d is not None and r and None not in rest:
-                    yield (d, x), r.split(), *rest
+        return _mixed(texts[:, 0].view(np.uint64) * np.uint64(_BASE) + place.view(np.uint64))
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], at: tuple[int, ...]) -> Iterator[Chunk]:
+    """Chunks of the rows; ``at`` has the columns of document, hash, text, and what else is wanted."""
+    texts, words, lengths = [], [], []
+    for part in slices(batches):
+        doc, sig, raw, *more = (part.column(i) for i in at)
+        lists = (doc.to_pylist(), sig.to_pylist(), *(m.to_pylist() for m in more))
+        for raw_text, *row in zip(raw_texts(raw), *lists, strict=True):
+            mine = raw_text.split() if raw_text else []
+            if len(mine) >= SPAN:
+                texts.append(tuple(row))
+                words.extend(mine)
+                lengths.append(len(mine))
+        if len(words) >= WORDS_AT_ONCE:
+            yield Chunk(texts, words, lengths)
+            texts, words, lengths = [], [], []
+    if texts:
+        yield Chunk(texts, words, lengths)
 
 
 def _fingerprint_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each selected line of the columns (doc, sig, text).
 
-    A line that is repeated in the batch is settled as such wherever it is, and one of its rows
-    goes on, twice, to tell the other batches.
+    A line that is repeated in the chunk is settled as such wherever it is, and one of its rows
+    goes on, twice, to tell the other chunks.
     """
-    texts: list[tuple[int, int]] = []
-    held = _Rows()
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        keys, rows, places = held.take()
-        of = np.array(texts, np.int64).reshape(-1, 2)[rows]
-        texts.clear()
+    for chunk in _chunks(batches, (0, 1, 2)):
+        at = np.unique(chunk.chosen)
+        at = at[np.argsort(chunk.lines[at], kind="stable")]
+        keys, row = chunk.lines[at], chunk.row[at]
+        of, place = chunk.texts[row], at - chunk.starts[row]
         new, count = _repeats(keys)
-        again = np.repeat(count > 1, count)
-        yield _settled(of[again], places[again], places[again])
+        again = np.flatnonzero(np.repeat(count > 1, count))
         on = np.repeat(new, np.minimum(count, 2))
-        yield _table(False, keys[on], of[on], places[on], places[on])
-
-    for text, words in _texts(batches, (0, 1, 2)):
-        lines = rolling(word_hashes(words), LINE)
-        places = np.unique(selected(lines, SPAN - LINE + 1))
-        if len(places):
-            held.add(lines[places], len(texts), places, len(words))
-            texts.append(text)
-        if held.n >= WORDS_AT_ONCE:
-            yield from flush()
-    if texts:
-        yield from flush()
+        yield _table(
+            np.r_[np.ones(len(again), bool), np.zeros(len(on), bool)],
+            np.r_[_own_keys(of[again], place[again]), keys[on]],
+            np.r_[of[again], of[on]],
+            np.r_[place[again], place[on]],
+            np.zeros(len(again) + len(on), np.int64),
+        )
 
 
 def _span_rows(batches: Iterable[pa.RecordBatch], at: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
-    """A row for each first span of the batch that selected a repeated line; spans that came
-    before in the batch are settled."""
-    texts: list[tuple[int, int]] = []
-    held = _Rows()
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        keys, rows, places = held.take()
-        of = np.array(texts, np.int64).reshape(-1, 2)[rows]
-        texts.clear()
-        order = np.lexsort((places, of[:, 1], of[:, 0], keys))
-        keys, of, places = keys[order], of[order], places[order]
+    """A row for each first span of the chunk that selected a repeated line; spans that came
+    before in the chunk are settled, and so is all of a text that is a copy of an earlier one."""
+    for chunk in _chunks(batches, at):
+        repeated = [np.array([], np.int64)]
+        whole = []
+        for k, (places, copied) in enumerate(chunk.more):
+            if copied:
+                whole.append(k)
+            elif places:
+                repeated.append(np.array(places, np.int64) + chunk.starts[k])
+        firsts = chunk.firsts[np.isin(chunk.chosen, np.concatenate(repeated))]
+        row = chunk.row[firsts]
+        keys, of, place = chunk.spans[firsts], chunk.texts[row], firsts - chunk.starts[row]
+        order = np.lexsort((place, of[:, 1], of[:, 0], keys))
+        keys, of, place = keys[order], of[order], place[order]
         new, count = _repeats(keys)
-        yield _table(False, keys[new], of[new], places[new], places[new] + SPAN)
         later = np.ones(len(keys), bool)
         later[new] = False
         first = np.repeat(new, count)
         own = (of == of[first]).all(axis=1)
-        start = np.where(own, np.maximum(places, places[first] + SPAN), places)
-        yield from _runs(of[later], start[later], places[later] + SPAN)
-
-    for text, words, repeated in _texts(batches, at):
-        hashes = word_hashes(words)
-        chosen = selected(rolling(hashes, LINE), SPAN - LINE + 1)
-        spans = np.flatnonzero(np.isin(chosen, np.array(repeated, np.int64)))
-        if len(spans):
-            held.add(rolling(hashes, SPAN)[spans], len(texts), spans, len(words))
-            texts.append(text)
-        if held.n >= WORDS_AT_ONCE:
-            yield from flush()
-    if texts:
-        yield from flush()
-
-
-def _runs(of: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Settled rows of the unions of (start, end) by text."""
+        start = np.where(own, np.maximum(place, place[first] + SPAN), place)
+        cut_of, cut_start, cut_end = _runs(of[later], start[later], place[later] + SPAN)
+        copies = chunk.texts[whole]
+        zeros = np.zeros(len(whole), np.int64)
+        settled_of = np.r_[cut_of, copies]
+        settled_start = np.r_[cut_start, zeros]
+        yield _table(
+            np.r_[np.ones(len(settled_start), bool), np.zeros(len(new), bool)],
+            np.r_[_own_keys(settled_of, settled_start), keys[new]],
+            np.r_[settled_of, of[new]],
+            np.r_[settled_start, place[new]],
+            np.r_[cut_end - cut_start, np.diff(chunk.starts)[whole], np.full(len(new), SPAN)],
+        )
+
+
+def _runs(of: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The unions of (start, end) by text."""
     some = end > start
     of, start, end = of[some], start[some], end[some]
     if not len(of):
-        return
+        return of, start, end
     order = np.lexsort((start, of[:, 1], of[:, 0]))
     of, start, end = of[order], start[order], end[order]
-    # All spans are of one length but for trimmed ones, which end as late; so ends ascend too.
-    new = np.r_[True, (of[1:] != of[:-1]).any(axis=1) | (start[1:] > end[:-1])]
-    at = np.flatnonzero(new)
-    last = np.r_[at[1:], len(of)] - 1
-    yield _settled(of[at], start[at], np.maximum.reduceat(end, at) if len(last) else end[last])
+    # A span that begins later ends later, and a trimmed one ends where it would have ended.
+    new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]).any(axis=1) | (start[1:] > end[:-1])])
+    return of[new], start[new], np.maximum.reduceat(end, new)
 
 
 def repeated_lines(texts: DataFrame) -> DataFrame:
     """(doc, sig, places): places of the fingerprints that occur twice or more, anywhere."""
-    rows = texts.select("doc", "sig", "text").mapInArrow(_fingerprint_rows, FOUND)
+    given = texts.where(F.col("doc") != NO_DOC).select("doc", "sig", "text")
+    rows = given.mapInArrow(_fingerprint_rows, FOUND)
     by_key = Window.partitionBy("settled", "key").orderBy("doc", "sig", "place")
     again = F.lag("doc").over(by_key).isNotNull() | F.lead("doc").over(by_key).isNotNull()
     found = rows.withColumn("again", F.col("settled") | again).where("again")
     return found.groupBy(*TEXT_KEY).agg(F.collect_set("place").alias("places"))
 
 
-def repeated_runs(texts: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(doc, sig, runs): the word ranges to delete of each text, as structs (start, end)."""
-    joined = texts.join(repeated.hint("shuffle_hash"), TEXT_KEY, "left")
-    at = tuple(joined.columns.index(x) for x in ("doc", "sig", "text", "places"))
+def copies(texts: DataFrame) -> DataFrame:
+    """(doc, sig) of the texts that equal one of a smaller document, by two hashes and the length."""
+    same = [F.col("sig"), F.hash("text").alias("other"), F.octet_length("text").alias("length")]
+    known = texts.where(F.col("doc") != NO_DOC).select("doc", *same).where("length > 0")
+    first = known.groupBy("sig", "other", "length").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    later = known.join(first.where("first < last"), ["sig", "other", "length"]).where("doc > first")
+    return later.select("doc", "sig").distinct()
+
+
+def repeated_runs(texts: DataFrame) -> DataFrame:
+    """(doc, sig, runs): the word ranges to delete of each text, as structs (start, size)."""
+    copied = copies(texts).withColumn("copied", F.lit(True))
+    repeated = repeated_lines(texts).join(copied, TEXT_KEY, "left")
+    repeated = repeated.withColumn("places", F.when(F.col("copied").isNull(), F.col("places")))
+    joined = texts.join(repeated.hint("shuffle_hash"), TEXT_KEY)
+    at = tuple(joined.columns.index(x) for x in ("doc", "sig", "text", "places", "copied"))
     rows = joined.mapInArrow(lambda batches: _span_rows(batches, at), FOUND)
     by_key = Window.partitionBy("settled", "key").orderBy("doc", "sig", "place")
     ranked = rows.select(
@@ -244,10 +263,10 @@ def repeated_runs(texts: DataFrame, repeated: DataFrame) -> DataFrame:
         F.row_number().over(by_key).alias("nth"),
         F.first(F.struct("doc", "sig", "place")).over(by_key).alias("first"),
     )
-    own = (F.col("first.doc") == F.col("doc")) & (F.col("first.sig") == F.col("sig"))
-    start = F.when(own & ~F.col("settled"), F.greatest("place", F.col("first.place") + SPAN)).otherwise(F.col("place"))
-    cut = ranked.where("settled or nth > 1").select("doc", "sig", start.alias("start"), F.col("until").alias("end"))
-    return cut.where("start < end").groupBy(*TEXT_KEY).agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    own = ~F.col("settled") & (F.col("first.doc") == F.col("doc")) & (F.col("first.sig") == F.col("sig"))
+    start = F.when(own, F.greatest("place", F.col("first.place") + SPAN)).otherwise(F.col("place"))
+    cut = ranked.where("settled or nth > 1").select(*TEXT_KEY, start.alias("start"), (F.col("place") + F.col("size") - start).alias("size"))
+    return cut.where("size > 0").groupBy(*TEXT_KEY).agg(F.collect_list(F.struct("start", "size")).alias("runs"))
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -255,19 +274,17 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 CUT = T.StructType(
     [
         T.StructField("text", T.StringType()),
-        T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()),
         T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
     ]
 )
 
 
-def _cut(raw: bytes | None, runs: list[dict] | None) -> dict:
-    if not runs:
-        n = len(raw.split()) if raw else 0
-        return {"text": None if raw is None else raw.decode(), "n_words": n, "n_removed": 0, "spans": []}
+def _cut(raw: bytes | None, runs: list[dict] | None) -> dict | None:
+    if raw is None or not runs:
+        return None
     merged: list[list[int]] = []
-    for start, end in sorted((r["start"], r["end"]) for r in runs):
+    for start, end in sorted((r["start"], r["start"] + r["size"]) for r in runs):
         if merged and start <= merged[-1][1]:
             merged[-1][1] = max(end, merged[-1][1])
         else:
@@ -278,13 +295,18 @@ def _cut(raw: bytes | None, runs: list[dict] | None) -> dict:
         out.append(raw[at : begins[start]])
         at = begins[end] if end < len(begins) else len(raw)
     out.append(raw[at:])
-    removed = sum(end - start for start, end in merged)
-    return {"text": b"".join(out).decode(), "n_words": len(begins), "n_removed": removed, "spans": merged}
+    return {"text": b"".join(out).decode(), "n_removed": sum(b - a for a, b in merged), "spans": merged}
+
+
+@F.arrow_udf(CUT)
+def _cuts(raws: pa.Array, runs: pa.Array) -> pa.Array:
+    made = [_cut(r, c) for r, c in zip(raw_texts(raws), runs.to_pylist(), strict=True)]
+    return pa.array(made, type=to_arrow_type(CUT))
 
 
 def with_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with a struct column, and its name: the text left, its words before, words removed,
-    and the removed word ranges.
+    """``docs`` with a struct column, and its name: the text left, the number of words removed, and
+    the removed word ranges; null for a text without a repeated passage.
 
     Rows with a null id or text are left as they are, and so is every text without a repeated
     passage, to the byte. Rows that share id and text are one document and do not delete each
@@ -294,35 +316,35 @@ def with_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     plain = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     doc, text = F.col(plain[id_col]), F.col(plain[text_col])
     texts = docs.toDF(*plain.values()).select(
-        *plain.values(), doc.cast("long").alias("doc"), F.xxhash64(text).alias("sig"), text.alias("text")
+        *plain.values(),
+        F.coalesce(doc.cast("long"), F.lit(NO_DOC)).alias("doc"),
+        F.xxhash64(text).alias("sig"),
+        text.alias("text"),
     )
-    runs = repeated_runs(texts, repeated_lines(texts))
-    joined = texts.join(runs.hint("shuffle_hash"), TEXT_KEY, "left")
-
-    def compute(raws: pa.Array, cuts: pa.Array) -> list[dict]:
-        return [_cut(r, c) for r, c in zip(raw_texts(raws), cuts.to_pylist(), strict=True)]
-
+    joined = texts.join(repeated_runs(texts).hint("shuffle_hash"), TEXT_KEY, "left")
+    cut = _cuts(F.when(F.col("runs").isNotNull(), F.col("text")), "runs")
     name = fresh(docs.columns, "cut")
-    made = with_computed(joined, "cut", CUT, ["text", "runs"], compute)
-    return made.select(*plain.values(), "cut").toDF(*docs.columns, name), name
+    return joined.select(*plain.values(), cut.alias("cut")).toDF(*docs.columns, name), name
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; ``n_chars``, if there, follows."""
     made, name = with_cuts(docs)
     cut = F.col(name)
-    changed = {"text": cut["text"]}
+    changed = {"text": F.coalesce(cut["text"], F.col("text"))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(
-            cut["n_removed"] > 0, F.length(cut["text"]).cast(docs.schema["n_chars"].dataType)
-        ).otherwise(F.col("n_chars"))
+        length = F.length(cut["text"]).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.coalesce(length, F.col("n_chars"))
     return made.select(*(changed[c].alias(c) if c in changed else c for c in docs.columns))
 
 
 def report(docs: DataFrame) -> DataFrame:
+    """A row for each row of ``docs``: how many words went, and the text that is left."""
     made, name = with_cuts(docs.select("doc_id", "text"))
     cut = F.col(name)
-    return made.select("doc_id", cut["n_words"].alias("n_words"), cut["n_removed"].alias("n_removed"), cut["text"].alias("text"))
+    return made.select(
+        "doc_id", F.coalesce(cut["n_removed"], F.lit(0)).alias("n_removed"), F.coalesce(cut["text"], "text").alias("text")
+    )
 
 
 #: DuckDB SQL for ``report``: every span of 50 words against its first occurrence.
@@ -346,7 +368,7 @@ kept AS (
   FROM (SELECT doc_id, words, spaces, unnest(range(1, len(words) + 1)) AS j FROM docs SEMI JOIN gone USING (doc_id))
   ANTI JOIN cut USING (doc_id, j)),
 joined AS (SELECT doc_id, string_agg(t, '' ORDER BY j) AS t FROM kept GROUP BY doc_id)
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
+SELECT doc_id, CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
   CASE WHEN js IS NULL THEN text ELSE spaces[1] || coalesce(t, '') END AS text
 FROM docs LEFT JOIN gone USING (doc_id) LEFT JOIN joined USING (doc_id)
 """
