@@ -10,6 +10,7 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -231,11 +232,16 @@ def quick_filter(alerts: DataFrame, *, limit: int | None = None, **given: Any) -
 def filter_rows(
     alerts: DataFrame, test: Column | Callable[[dict], bool]
 ) -> DataFrame:
-    """Arbitrary predicate: a Column, or as a fallback a Python function of the row dict."""
+    """Arbitrary predicate: a Column, or as a fallback a Python function of the row dict, which
+    workers apply to Arrow batches."""
     if isinstance(test, Column):
         return alerts.where(test)
-    as_udf = F.udf(lambda row: bool(test(row.asDict(recursive=True))), T.BooleanType())
-    return alerts.where(as_udf(F.struct("*")))
+
+    @F.arrow_udf(T.BooleanType())
+    def holds(rows: pa.Array) -> pa.Array:
+        return pa.array([bool(test(r)) for r in rows.to_pylist(maps_as_pydicts="lossy")], pa.bool_())
+
+    return alerts.where(holds(F.struct("*")))
 
 
 DAY, DAY_WIDTH = "mjd_day", "partition_days"

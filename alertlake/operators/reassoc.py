@@ -36,6 +36,7 @@ def detect_reassociations(
     rows_per_chunk: int = skew.ROWS_PER_CHUNK,
     probe: DataFrame | None = None,
     small_batch: bool = False,
+    any_hot: bool = True,
 ) -> DataFrame:
     """Set is_reassociation, reassociation_reason and is_new_source on deduplicated alerts.
 
@@ -44,6 +45,7 @@ def detect_reassociations(
     the window as one more row that precedes all others, so no separate join is needed.
     ``probe`` is a cheaper superset of the alerts (see ``skew``); ``small_batch`` says that
     its row count was checked, so that its source ids are broadcast to the stored state.
+    ``any_hot=False`` says that no source exceeds a chunk (``skew.has_hot_key``).
     """
     rows = alerts.drop("is_reassociation", "reassociation_reason")
     seed = None
@@ -66,6 +68,7 @@ def detect_reassociations(
         (_ID, _TIME),
         rows_per_chunk=rows_per_chunk,
         probe=probe,
+        any_hot=any_hot,
     )
     if seed is not None:
         out = out.where(F.col("mjd") != float("-inf"))

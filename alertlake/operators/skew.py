@@ -47,6 +47,12 @@ def hot_key_splitters(
     return bounds.withColumn("_coarse", every)
 
 
+def has_hot_key(rows: DataFrame, key: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> bool:
+    """Whether a key has more rows than a chunk; a narrow job that counts keys before it shuffles."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return not counts.where(F.col("n") > rows_per_chunk).limit(1).isEmpty()
+
+
 def _chunk_number(order: Sequence[str]) -> Column:
     """How many splitters are at or below the row: coarse steps first, then within one."""
     point = F.struct(*order)
@@ -64,12 +70,17 @@ def with_previous(
     *,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     probe: DataFrame | None = None,
+    any_hot: bool = True,
 ) -> DataFrame:
     """Add struct ``_previous`` of ``values`` of the preceding row of the key (null if none).
 
     ``order`` must be a total order within the key, without nulls. ``probe`` may be a
     cheaper superset of the rows (key and order columns) from which hot keys are found.
+    ``any_hot=False`` says that ``has_hot_key`` was asked: one window is then enough.
     """
+    if not any_hot:
+        window = Window.partitionBy(key).orderBy(*order)
+        return rows.withColumn(PREVIOUS, F.lag(F.struct(*values)).over(window))
     source = probe if probe is not None else rows
     splitters = hot_key_splitters(source, key, order, rows_per_chunk)
     carried = F.struct(*values)

@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from alertlake.operators import dedupe, reassoc, sets, state, validate
+from alertlake.operators import dedupe, reassoc, sets, skew, state, validate
 from alertlake.plans import storage
 from alertlake.plans.storage import Lake
 from alertlake.schema import ALERT_COLUMNS, ALERT_KEY, RUN_EVENT_SCHEMA, SOURCE_STATE_SCHEMA
@@ -151,6 +151,7 @@ def _run(
     flagged = fresh.withColumn("is_new_source", F.lit(None).cast("boolean"))
     if track_state:
         prior = current_state(spark, lake, without_run=run_id)
+        # With no source above a chunk, a batch is compared in one window over one pass.
         flagged = _flag(fresh, prior, valid, small)
 
     lake.note_day_width(spark)
@@ -178,8 +179,9 @@ def _run(
 def _flag(fresh: DataFrame, prior: DataFrame, probe: DataFrame, small: bool) -> DataFrame:
     """Detected reassociations, together with those the source itself had flagged."""
     own = {"is_reassociation": "_own_flag", "reassociation_reason": "_own_reason"}
+    hot = not small and skew.has_hot_key(probe, "dia_source_id")
     found = reassoc.detect_reassociations(
-        fresh.withColumnsRenamed(own), prior, probe=probe, small_batch=small
+        fresh.withColumnsRenamed(own), prior, probe=probe, small_batch=small, any_hot=hot
     )
     return found.withColumns(
         {

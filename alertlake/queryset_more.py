@@ -11,6 +11,7 @@ from alertlake.fixture import Tables, with_ctes
 from alertlake.operators import cutouts as C
 from alertlake.operators import filters as f
 from alertlake.operators import presets as P
+from alertlake.operators import reassoc as R
 from alertlake.operators import views as VW
 from alertlake.plans import export as E
 from alertlake.plans import processors as PR
@@ -191,3 +192,30 @@ add(
         UNION ALL SELECT 'custom', count(*) FROM alerts WHERE snr > 50""",
     ),
 )
+
+
+def _hot_source(t: Tables) -> DataFrame:
+    """A third of all alerts share one source, which is cut into chunks of few rows."""
+    hot = F.when(F.col("alert_id") % 3 == 0, F.lit(1)).otherwise(F.col("dia_source_id"))
+    rows = t.alerts.select(
+        "alert_id", hot.cast("long").alias("dia_source_id"), "mjd", "ss_object_id", "ss_object_reassoc_time_mjd"
+    )
+    return R.detect_reassociations(rows, rows_per_chunk=1000).select(
+        "alert_id", "dia_source_id", "is_reassociation", "is_new_source"
+    )
+
+
+add(
+    "detect_hot_source",
+    _hot_source,
+    with_ctes(
+        "alerts",
+        """, h AS (SELECT alert_id, CASE WHEN alert_id % 3 = 0 THEN 1 ELSE dia_source_id END AS dia_source_id,
+          mjd, ss_object_id AS id, ss_object_reassoc_time_mjd AS tm FROM alerts),
+        p AS (SELECT *, row_number() OVER w AS nth, lag(id) OVER w AS pid, lag(tm) OVER w AS ptm
+          FROM h WINDOW w AS (PARTITION BY dia_source_id ORDER BY mjd, alert_id))
+        SELECT alert_id, dia_source_id, nth > 1 AND coalesce(CASE WHEN pid IS NULL AND id IS NOT NULL THEN true
+          WHEN pid <> id THEN true WHEN ptm <> tm THEN true END, false) AS is_reassociation,
+          nth = 1 AS is_new_source FROM p""",
+    ),
+)

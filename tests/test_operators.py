@@ -74,6 +74,11 @@ def test_hot_key_chunks_equal_plain_lag(spark, rows_per_chunk):
         want[r["alert_id"]] = last.get(r["dia_source_id"])
         last[r["dia_source_id"]] = r["alert_id"]
     assert {r["alert_id"]: r["prev"] for r in got.collect()} == want
+    assert skew.has_hot_key(base, "dia_source_id", rows_per_chunk) == (rows_per_chunk < 900)
+    plain = skew.with_previous(
+        base, "dia_source_id", ("mjd", "alert_id"), ("alert_id",), any_hot=False
+    ).select("alert_id", F.col("_previous.alert_id").alias("prev"))
+    assert {r["alert_id"]: r["prev"] for r in plain.collect()} == want
 
 
 def test_dedupe_limits_groups_before_the_shuffle(spark, tables):
