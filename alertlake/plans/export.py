@@ -108,21 +108,29 @@ def merge_csv(
 ) -> int:
     """Merge CSV files of possibly different columns; returns the rows written.
 
-    "First" among duplicates is the first in input order: file by file, as listed.
+    "First" among duplicates is the first in input order: file by file, as listed (the files of
+    a folder by name).
     """
     found = [p for p in inputs if storage.exists(spark, p)]
     if not found:
         return 0
     parts = [
         read_csv_text(spark, p).withColumns(
-            {"_file": F.lit(i), "_row": F.monotonically_increasing_id()}
+            {
+                "_file": F.lit(i),
+                "_path": F.col("_metadata.file_path"),
+                "_block": F.col("_metadata.file_block_start"),
+                "_row": F.monotonically_increasing_id(),
+            }
         )
         for i, p in enumerate(found)
     ]
+    # Spark packs and orders files by size; a block is read in order by one task.
+    order = ["_file", "_path", "_block", "_row"]
     merged = sets.concat_differing(parts)
     if dedupe_column and dedupe_column in merged.columns:
-        merged = dedupe.dedupe_by_column(merged, dedupe_column, ["_file", "_row"])
-    merged = merged.drop("_file", "_row")
+        merged = dedupe.dedupe_by_column(merged, dedupe_column, order)
+    merged = merged.drop(*order)
     if remove_duplicates and not (dedupe_column and dedupe_column in merged.columns):
         merged = dedupe.dedupe_by_column(merged, None)
     for_order = [sort_by] if isinstance(sort_by, str) else list(sort_by or [])

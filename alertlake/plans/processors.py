@@ -23,6 +23,10 @@ from alertlake.plans.storage import Lake
 from alertlake.schema import PROCESSOR_RUN_SCHEMA
 
 
+#: Places over which the rows of one key are dealt before they are condensed.
+SALTS = 16
+
+
 class Processor:
     """``transform`` maps the window's alerts to a result DataFrame; nothing runs in it."""
 
@@ -135,7 +139,11 @@ class GroupProcessor(Processor):
                 if parts:
                     yield pd.concat(parts, ignore_index=True)
 
-        parts = rows.mapInPandas(condense, self.partial_schema)
+        # Rows of a key come together, a hot key in several places, so that each call of
+        # ``partial`` has many rows; batches are streamed, no group is held.
+        part = F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("part")
+        sorted_rows = rows.repartition(F.col(key), part).sortWithinPartitions(key)
+        parts = sorted_rows.mapInPandas(condense, self.partial_schema)
         return parts.groupBy(key).applyInPandas(self._record(self.combine), self.result_schema)
 
     def _whole_groups(self, rows: DataFrame) -> DataFrame:

@@ -219,3 +219,16 @@ add(
           nth = 1 AS is_new_source FROM p""",
     ),
 )
+
+
+add(
+    "ordered_topk",
+    lambda t: P.high_snr(20.0, limit=500)
+    .apply(t.alerts)
+    .select(F.monotonically_increasing_id().alias("position"), "alert_id", "dia_source_id", "snr"),
+    with_ctes(
+        "alerts",
+        """SELECT row_number() OVER (ORDER BY snr DESC, alert_id, dia_source_id) - 1 AS position,
+        alert_id, dia_source_id, snr FROM alerts WHERE snr >= 20 QUALIFY position < 500""",
+    ),
+)
