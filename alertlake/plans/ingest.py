@@ -83,12 +83,14 @@ def ingest(
     skip_duplicates: bool = True,
     track_state: bool = True,
     max_alerts: int | None = None,
+    undecoded: int = 0,
 ) -> Row:
     """Run one batch and return its row of the run log. The run is logged as running when it
     begins; a failure is logged as a failed run and raised.
 
     ``max_alerts`` takes the first rows by key, so that a replay takes the same; the rest is
-    left to the caller. Streams are bounded at their source instead.
+    left to the caller. Streams are bounded at their source instead. ``undecoded`` messages,
+    which never became alerts, count as received and failed.
     """
     spark = alerts.sparkSession
     now = datetime.now(timezone.utc)
@@ -105,6 +107,7 @@ def ingest(
     try:
         bounded = alerts.orderBy(*ALERT_KEY, "mjd").limit(max_alerts) if max_alerts else alerts
         _run(spark, bounded, lake, row["run_id"], counts, skip_duplicates, track_state)
+        counts.update(alerts_received=undecoded, alerts_failed=undecoded)
         row["status"] = "completed"
     except Exception as err:
         row |= {"status": "failed", "error_message": str(err)}

@@ -14,10 +14,11 @@ from alertlake.operators import presets as P
 from alertlake.operators import reassoc as R
 from alertlake.operators import views as VW
 from alertlake.plans import export as E
+from alertlake.plans import ingest as I
 from alertlake.plans import processors as PR
 from alertlake.plans import storage as SG
 from alertlake.queryset import AS_OF_TIME, MOON, ROW, ROW_SQL, add
-from alertlake.queryset_io import _FLAG_SQL, _KINDS_SQL, _TRAIL_SQL, _as_alerts, _flat, _to_parquet
+from alertlake.queryset_io import _FLAG_SQL, _KINDS_SQL, _TRAIL_SQL, _as_alerts, _flat, _framed, _to_parquet
 from alertlake.session import scratch_path
 from alertlake.sources import files as FS
 from alertlake.sources import packets as PK
@@ -232,3 +233,33 @@ add(
         alert_id, dia_source_id, snr FROM alerts WHERE snr >= 20 QUALIFY position < 500""",
     ),
 )
+
+
+def _message_ingest(t: Tables) -> DataFrame:
+    """Framed messages as a stream of two files; a row for what was stored and what was not decoded."""
+    path = scratch_path(t.spark, "messages")
+    messages = _framed(t)
+    for part in (0, 1):
+        messages.where(F.pmod(F.crc32("value"), F.lit(2)) == part).coalesce(1).write.mode("append").parquet(path)
+    stream = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    lake = SG.Lake(scratch_path(t.spark, "message-lake"), 400)
+    SI.run_bounded(SI.start_message_ingest(stream, lake, scratch_path(t.spark, "message-offsets")))
+    runs = I.latest_runs(t.spark, lake)
+    stored = lake.read(t.spark, "alerts").select("alert_id").distinct().count()
+    undecoded = t.spark.read.parquet(lake.path("undecoded")).count()
+    return runs.agg(
+        F.sum("alerts_received").alias("received"), F.sum("alerts_failed").alias("failed"), F.sum("alerts_ingested").alias("ingested")
+    ).select("*", F.lit(stored).cast("bigint").alias("stored"), F.lit(undecoded).cast("bigint").alias("undecoded"))
+
+
+add(
+    "message_ingest",
+    _message_ingest,
+    with_ctes(
+        "fx",
+        """SELECT count(*) AS received, count(*) FILTER (l_linenumber = 5) AS failed,
+        count(DISTINCT alert_id) FILTER (l_linenumber <> 5) AS ingested,
+        count(DISTINCT alert_id) FILTER (l_linenumber <> 5) AS stored,
+        count(*) FILTER (l_linenumber = 5) AS undecoded FROM fx""",
+    ),
+)

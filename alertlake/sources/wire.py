@@ -69,6 +69,9 @@ def _avro(spark: SparkSession, payload: Column, schema: str) -> tuple[Column, T.
     return packet, shape
 
 
+DECODED, MESSAGE = "_decoded", "_message"
+
+
 def decode_messages(
     messages: DataFrame,
     default: T.StructType | str = PACKET_SCHEMA,
@@ -77,7 +80,28 @@ def decode_messages(
     value: str = "value",
     encoding: str = "json",
 ) -> tuple[DataFrame, DataFrame]:
-    """(flat alerts, messages that failed to decode), all schemas in a single pass.
+    """(flat alerts, messages that failed to decode); see ``decoded_rows`` for one pass over both."""
+    return split_decoded(
+        decoded_rows(messages, default, by_schema_id, value=value, encoding=encoding), value
+    )
+
+
+def split_decoded(rows: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """The two parts of ``decoded_rows``, for instance of its stored rows."""
+    bad = rows.where(~F.col(DECODED)).select(F.col(MESSAGE).alias(value), "schema_id")
+    return rows.where(DECODED).select(*ALERT_COLUMNS), bad
+
+
+def decoded_rows(
+    messages: DataFrame,
+    default: T.StructType | str = PACKET_SCHEMA,
+    by_schema_id: dict[int, T.StructType | str] | None = None,
+    *,
+    value: str = "value",
+    encoding: str = "json",
+) -> DataFrame:
+    """A row for each message: flat alert, schema id, whether it was decoded, and the message
+    itself where it was not; all schemas in a single pass.
 
     ``encoding`` json takes StructTypes, avro takes Avro schema texts. Each message uses
     the schema of its header id, or the default one.
@@ -120,7 +144,9 @@ def decode_messages(
         for name, columns in zip(shapes, flat):
             choice = F.when(F.col(name).isNotNull(), columns[position]).otherwise(choice)
         picked.append(choice.alias(column))
-    return split.where(any_ok).select(*picked), split.where(~any_ok).select(value, "schema_id")
+    return split.select(
+        *picked, "schema_id", any_ok.alias(DECODED), F.when(~any_ok, F.col(value)).alias(MESSAGE)
+    )
 
 
 def kafka_messages(

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from alertlake.plans.ingest import ingest
-from alertlake.plans.storage import Lake
+from alertlake.plans.storage import Lake, drop_directory
 from alertlake.schema import ALERT_KEY
-from alertlake.sources.wire import decode_messages
+from alertlake.session import scratch_path
+from alertlake.sources.wire import decoded_rows, split_decoded
 
 
 def start_ingest(
@@ -51,9 +52,16 @@ def start_message_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{name}-{batch_id}"
-        good, bad = decode_messages(batch, **(decode or {}))
+        # Decoded once: both parts and the counts come from the stored rows.
+        spark, given = batch.sparkSession, decode or {}
+        staging = scratch_path(spark, f"decoded-{run_id}")
+        rows = decoded_rows(batch, **given)
+        rows.write.parquet(staging)
+        stored = spark.read.schema(rows.schema).parquet(staging)
+        good, bad = split_decoded(stored, given.get("value", "value"))
         bad.write.mode("overwrite").parquet(lake.run_path("undecoded", run_id))
-        ingest(good, lake, run_id=run_id, source_name=name, **options)
+        ingest(good, lake, run_id=run_id, source_name=name, undecoded=bad.count(), **options)
+        drop_directory(spark, staging)
 
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
