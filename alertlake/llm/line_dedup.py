@@ -37,7 +37,7 @@ from alertlake.llm.common import fresh, raw_texts, slices
 SPAN = 50
 LINE = 25
 #: Words whose hashes are held at once (texts of 256 rows more, or one long text, can be above it).
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -122,6 +122,8 @@ FOUND = T.StructType(
     + [T.StructField(x, T.LongType()) for x in ("doc", "sig", "place", "size")]
 )
 TEXT_KEY = ["doc", "sig"]
+#: Parts into which the rows of a group of copies are dealt.
+SALTS = 32
 #: Stands for a null id, whose rows are left as they are.
 NO_DOC = -(1 << 63)
 
@@ -245,7 +247,10 @@ def copies(texts: DataFrame) -> DataFrame:
     same = [F.col("sig"), F.hash("text").alias("other"), F.octet_length("text").alias("length")]
     known = texts.where(F.col("doc") != NO_DOC).select("doc", *same).where("length > 0")
     first = known.groupBy("sig", "other", "length").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    later = known.join(first.where("first < last"), ["sig", "other", "length"]).where("doc > first")
+    # A large group of copies is dealt out by a salt, to each of which its first text goes.
+    salted = first.where("first < last").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = known.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    later = dealt.join(salted, ["sig", "other", "length", "salt"]).where("doc > first")
     return later.select("doc", "sig").distinct()
 
 
@@ -313,13 +318,10 @@ def with_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     other. Texts that share an id are documents of their own, in the order of their hashes. A
     text whose every word repeats becomes empty; its row stays.
     """
-    plain = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    doc, text = F.col(plain[id_col]), F.col(plain[text_col])
+    plain = {c: "text" if c == text_col else f"c{i}" for i, c in enumerate(docs.columns)}
+    doc = F.coalesce(F.col(plain[id_col]).cast("long"), F.lit(NO_DOC))
     texts = docs.toDF(*plain.values()).select(
-        *plain.values(),
-        F.coalesce(doc.cast("long"), F.lit(NO_DOC)).alias("doc"),
-        F.xxhash64(text).alias("sig"),
-        text.alias("text"),
+        *plain.values(), doc.alias("doc"), F.xxhash64("text").alias("sig")
     )
     joined = texts.join(repeated_runs(texts).hint("shuffle_hash"), TEXT_KEY, "left")
     cut = _cuts(F.when(F.col("runs").isNotNull(), F.col("text")), "runs")
