@@ -39,6 +39,8 @@ from alertlake.session import scratch_path
 FOLDS, HELD_OUT = 7, 2
 TOKENS_AT_ONCE = 2 << 20
 SHARDS_PER_PARTITION = 4
+#: Shards of pairs for each shard of words. Each of the former sends a row to each of the latter.
+PAIR_SHARDS_PER_WORD_SHARD = 16
 #: Rows (in the mean) that are looked at to find frequent words; this only balances the shards.
 ROWS_FOR_BALANCE = 20_000
 
@@ -73,8 +75,12 @@ class Layout:
     shards: int
     frequent: tuple[int, ...]
 
+    @property
+    def n_word_shards(self) -> int:
+        return max(1, self.shards // PAIR_SHARDS_PER_WORD_SHARD)
+
     def of_words(self, words: np.ndarray) -> np.ndarray:
-        return (_mixed(words) % np.uint64(self.shards)).astype(np.int64)
+        return (_mixed(words) % np.uint64(self.n_word_shards)).astype(np.int64)
 
     def of_pairs(self, before: np.ndarray, keys: np.ndarray) -> np.ndarray:
         spread = np.isin(before, np.array(self.frequent, np.uint64))
@@ -196,10 +202,10 @@ def _merge_pairs(layout: Layout):
         context_shard, word_shard = layout.of_words(contexts), layout.of_words(words)
         out = []
         by_context, by_word = np.argsort(context_shard, kind="stable"), np.argsort(word_shard, kind="stable")
-        ends = np.arange(layout.shards + 1)
+        ends = np.arange(layout.n_word_shards + 1)
         a = np.searchsorted(context_shard[by_context], ends)
         b = np.searchsorted(word_shard[by_word], ends)
-        for k in range(layout.shards):
+        for k in range(layout.n_word_shards):
             c, w = by_context[a[k] : a[k + 1]], by_word[b[k] : b[k + 1]]
             if len(c) or len(w):
                 packed = (contexts[c], _small(numbers[c]), words[w], _small(counts[w]))
