@@ -13,21 +13,25 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from alertlake.llm.common import built_once, fresh, with_computed
 
-#: Pre-tokens held at once of one text, and remembered by one worker.
-PRE_TOKENS_AT_ONCE = 1 << 16
-REMEMBERED = 300_000
+#: Pre-tokens held at once of one text, and remembered by one worker (about 200 bytes each).
+PRE_TOKENS_AT_ONCE = 1 << 18
+REMEMBERED = 500_000
 
 
 def ranks_of(raw: bytes) -> list[bytes]:
@@ -85,7 +89,9 @@ class Codec:
         self.whole = {text: rank for rank, text in enumerate(self.vocabulary)}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(self.vocabulary))
         self.symbols = dict(enumerate(byte_symbols()))
-        self.known: dict[str, list[int]] = {}
+        #: Ids of pre-tokens, packed.
+        self.kind = np.dtype(np.uint16 if len(self.vocabulary) < 1 << 16 else np.uint32)
+        self.known: dict[str, bytes] = {}
 
     def _learn(self, pre_tokens: set[str]) -> None:
         todo = []
@@ -94,23 +100,33 @@ class Codec:
             if rank is None:
                 todo.append(p)
             else:
-                self.known[p] = [rank]
+                self.known[p] = self.kind.type(rank).tobytes()
         mapped = [p.encode().decode("latin-1").translate(self.symbols) for p in todo]
-        self.known.update(zip(todo, self.model.encode(mapped, num_threads=1), strict=True))
-
-    def encode(self, text: str | None) -> list[int]:
-        found = (m.group() for m in self.pattern.finditer(text or ""))
-        ids: list[int] = []
+        code = self.kind.char
+        for p, ids in zip(todo, self.model.encode(mapped, num_threads=1), strict=True):
+            self.known[p] = array(code, ids).tobytes()
+
+    def _pre_tokens(self, text: str) -> Iterator[list[str]]:
+        """The matches of the pattern, in lists of bounded length."""
+        if len(text) <= PRE_TOKENS_AT_ONCE:
+            yield self.pattern.findall(text)
+            return
+        found = (m.group() for m in self.pattern.finditer(text))
         while part := list(islice(found, PRE_TOKENS_AT_ONCE)):
+            yield part
+
+    def encode(self, text: str | None) -> np.ndarray:
+        packed = []
+        for part in self._pre_tokens(text or ""):
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            if new := {p for p in part if p not in self.known}:
+            if new := set(part).difference(self.known):
                 self._learn(new)
-            ids.extend(chain.from_iterable(map(self.known.__getitem__, part)))
-        return ids
+            packed.extend(map(self.known.__getitem__, part))
+        return np.frombuffer(b"".join(packed), self.kind)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.vocabulary.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))
 
 
 def _codec(df: DataFrame, path: str, pattern: str):
@@ -133,10 +149,16 @@ def encode(docs: DataFrame, path: str, pattern: str, name: str = "ids", text_col
     """
     codec = _codec(docs, path, pattern)
 
-    def compute(texts: pa.Array) -> Iterator[list[int]]:
-        return [codec().encode(x) for x in texts.to_pylist()]
+    kind = T.ArrayType(T.IntegerType(), False)
+    arrow_kind = to_arrow_type(kind)
+
+    def compute(texts: pa.Array) -> pa.Array:
+        made = [codec().encode(x) for x in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, made)], dtype=np.int32)
+        ids = np.concatenate(made).astype(np.int32) if made else np.empty(0, np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids), type=arrow_kind)
 
-    return with_computed(docs, name, T.ArrayType(T.IntegerType(), False), [text_col], compute)
+    return with_computed(docs, name, kind, [text_col], compute)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, name: str = "decoded", ids_col: str = "ids") -> DataFrame:
@@ -144,7 +166,10 @@ def decode(docs: DataFrame, path: str, pattern: str, name: str = "decoded", ids_
     codec = _codec(docs, path, pattern)
 
     def compute(ids: pa.Array) -> list[bytes]:
-        return [codec().decode(x or []) for x in ids.to_pylist()]
+        values, none = ids.flatten().to_numpy(), np.empty(0, np.int32)
+        ends = np.cumsum([0, *(n or 0 for n in pc.list_value_length(ids).to_pylist())])
+        parts = (values[a:b] if b > a else none for a, b in zip(ends[:-1], ends[1:], strict=True))
+        return [codec().decode(x) for x in parts]
 
     return with_computed(docs, name, T.BinaryType(), [ids_col], compute)
 

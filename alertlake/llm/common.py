@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -18,7 +17,6 @@ ROWS_AT_ONCE = 256
 # The characters the contracts count as space between words.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
-
 _built: dict[object, object] = {}
 
 
@@ -42,15 +40,10 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def remainder(doc_id: Column | str, modulus: int) -> Column:
+def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; a null id counts as empty text."""
-    text = F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit(None))
-    return F.pmod(F.crc32(F.coalesce(text.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
-
-
-def remainder_of(doc_id: object, modulus: int) -> int:
-    """The same for one Python value."""
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % modulus
+    text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -80,11 +73,12 @@ def with_computed(
     name: str,
     kind: T.DataType,
     inputs: Sequence[str],
-    compute: Callable[..., list],
+    compute: Callable[..., list | pa.Array],
 ) -> DataFrame:
     """``df`` with the column ``name``, computed for slices of rows in Python workers.
 
-    ``compute`` takes one Arrow array for each input column and returns a value for each row.
+    ``compute`` takes one Arrow array for each input column and returns a value for each row, as a
+    list or an Arrow array.
     Other columns pass through as they are, whatever their names.
     """
     from pyspark.sql.pandas.types import to_arrow_type
@@ -96,7 +90,7 @@ def with_computed(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             values = compute(*(part.column(i) for i in places))
-            made = pa.array(values, type=arrow_type)
+            made = values if isinstance(values, pa.Array) else pa.array(values, type=arrow_type)
             names = [*part.schema.names, name]
             yield pa.RecordBatch.from_arrays([*part.columns, made], names=names)
 
