@@ -142,7 +142,9 @@ class Ledger:
             F.unhex(F.sha2("text", 256)).alias("blob"), "text"
         )
         known = self.rows().where(F.col("rule_version") == version).select("blob")
-        unseen = blobs.join(known, "blob", "left_anti").groupBy("blob").agg(F.first("text").alias("text"))
+        # Copies are reduced to one row in each map task before the texts are shuffled.
+        each = blobs.groupBy("blob").agg(F.first("text").alias("text"))
+        unseen = each.join(known, "blob", "left_anti")
         rows = findings(unseen, rules).select("blob", F.lit(version).alias("rule_version"), "spans")
         rows.write.mode("append").parquet(self.path)
         return self.rows().where(F.col("rule_version") == version)
