@@ -78,8 +78,9 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
         "duplicate_lines": (F.size(p["lines"]) - F.size(F.array_distinct(p["lines"]))) / n_lines,
     }
     out = docs.withColumn(parts, cut)
-    out = out.withColumn(name, F.struct(*(made[x].cast("double").alias(x) for x in STATISTICS)))
-    return out.drop(parts), name
+    # Exploding one struct keeps Catalyst from copying the statistics into every rule of a filter.
+    one = F.array(F.struct(*(made[x].cast("double").alias(x) for x in STATISTICS)))
+    return out.select("*", F.explode(one).alias(name)).drop(parts), name
 
 
 @dataclass(frozen=True)
