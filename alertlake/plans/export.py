@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
@@ -198,24 +200,72 @@ def expire(
 ) -> list[str]:
     """Drop old day partitions, after copying them below ``archive`` if one is given.
 
-    A dry run, the default, only lists them. The archive has a folder for each day of expiry;
-    repeating an expiry that broke off writes its partitions again instead of adding to them.
+    A dry run, the default, only lists them. Each expiry has a folder ``expiry_id=`` of its own in
+    the archive, named by the source folder and by the files it moves, so late rows of an expired
+    day and other sources are added to an archive and replace nothing in it. The files of an
+    expiry are noted once their copy is whole, and only noted files are deleted. What broke off
+    is settled by the next expiry of the same source, on whatever day: a copy without a note is
+    dropped, since all its rows are live, and noted files that are still live are deleted. One
+    expiry of a source runs at a time.
     """
-    old = expired_days(spark, path, days, as_of, partition_days)
-    if dry_run or not old:
+    if dry_run:
+        return expired_days(spark, path, days, as_of, partition_days)
+    if archive is None:
+        old = expired_days(spark, path, days, as_of, partition_days)
+        for folder in old:
+            storage.drop_directory(spark, folder)
         return old
-    if archive is not None:
+    root = archive.rstrip("/")
+    source = storage.qualified(spark, path)
+    prefix = hashlib.sha256(source.encode()).hexdigest()[:16]
+    _settle(spark, root, prefix)
+    old = expired_days(spark, path, days, as_of, partition_days)
+    files = [f for folder in old for f in storage.data_files(spark, folder)]
+    if files:
+        names = json.dumps({"source": source, "files": files})
+        # A letter in front: partition values of digits only would be read as numbers.
+        expiry = f"x{prefix}-{hashlib.sha256(names.encode()).hexdigest()[:32]}"
         # One job copies all of them, partition columns and layout kept.
         columns = [p.split("=")[0] for p in old[0].split("/") if "=" in p]
         kept = [c for c in columns if c in ("mjd_day", "year", "month", "day")]
-        rows = spark.read.option("basePath", path).format(fmt)
+        rows = spark.read.option("basePath", source).format(fmt)
         if fmt == "csv":
             rows = rows.option("header", True)
+        elif fmt == "parquet":
+            rows = rows.option("mergeSchema", True)
         on = as_of or datetime.now(timezone.utc).date()
-        dated = rows.load(old).withColumn("archived_on", F.lit(on.isoformat()))
-        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        dated = rows.load([f[0] for f in files]).withColumn("archived_on", F.lit(on.isoformat()))
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer = writer.partitionBy("archived_on", *kept)
-        (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(archive)
-    for folder in old:
-        storage.drop_directory(spark, folder)
+        (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(
+            f"{root}/expiry_id={expiry}"
+        )
+        storage.write_text(spark, f"{root}/{NOTES}/{expiry}.json", names)
+        _finish(spark, root, expiry)
     return old
+
+
+#: Folder of an archive with a list of the files of each expiry; Spark does not read it as data.
+NOTES = "_expiries"
+
+
+def _finish(spark: SparkSession, archive: str, expiry: str) -> None:
+    """Delete the noted files of an expiry from its source."""
+    noted = json.loads(storage.read_text(spark, f"{archive}/{NOTES}/{expiry}.json"))
+    storage.drop_files(spark, [tuple(f) for f in noted["files"]])
+    storage.write_text(spark, f"{archive}/{NOTES}/{expiry}.done", "")
+
+
+def _settle(spark: SparkSession, archive: str, prefix: str) -> None:
+    """Settle the expiries of a source that broke off."""
+    for folder in storage.subdirectories(spark, archive):
+        name, _, expiry = folder.rsplit("/", 1)[-1].partition("=")
+        if name == "archived_on":
+            raise ValueError(f"{archive} has folders of an older layout; give another archive")
+        if name != "expiry_id" or not expiry.startswith(f"x{prefix}-"):
+            continue
+        note = f"{archive}/{NOTES}/{expiry}"
+        if not storage.exists(spark, f"{note}.json"):
+            storage.drop_directory(spark, folder)
+        elif not storage.exists(spark, f"{note}.done"):
+            _finish(spark, archive, expiry)

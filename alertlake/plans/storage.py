@@ -47,6 +47,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, without a slash at the end: one name for one folder."""
+    fs, p = hadoop_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = hadoop_path(spark, path)
     return fs.exists(p)
@@ -64,6 +70,55 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of change) of the files below ``folder`` that Spark would read."""
+    fs, p = hadoop_path(spark, folder)
+    if not fs.exists(p):
+        return []
+    top, found, each = len(fs.makeQualified(p).toString()), [], fs.listFiles(p, True)
+    while each.hasNext():
+        status = each.next()
+        path = status.getPath().toString()
+        parts = path[top:].split("/")
+        if not any(x[:1] == "." or x[:1] == "_" and "=" not in x for x in parts):
+            found.append((path, status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
+def drop_files(spark: SparkSession, files: list[tuple[str, int, int]]) -> None:
+    """Delete the files that are still as listed, then the folders this leaves empty."""
+    for path, size, changed in files:
+        fs, p = hadoop_path(spark, path)
+        if fs.exists(p):
+            status = fs.getFileStatus(p)
+            same = (status.getLen(), status.getModificationTime()) == (size, changed)
+            if same and not fs.delete(p, False):
+                raise OSError(f"could not delete {path}")
+    for folder in {path.rsplit("/", 1)[0] for path, *_ in files}:
+        fs, p = hadoop_path(spark, folder)
+        if fs.exists(p) and not fs.listStatus(p):
+            fs.delete(p, False)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, which appears under its name when it is whole."""
+    fs, part = hadoop_path(spark, f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, hadoop_path(spark, path)[1]):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 @dataclass(frozen=True)
 class Lake:
     """Tables below one root folder. Alerts are partitioned by day; a sparse table may take

@@ -796,7 +796,7 @@ def _retained(t: Tables) -> DataFrame:
     live = t.spark.read.parquet(f"{base}/live").withColumn("place", F.lit("live"))
     if old:
         archived = t.spark.read.parquet(f"{base}/archive").withColumn("place", F.lit("archive"))
-        archived = archived.drop("archived_on")
+        archived = archived.drop("archived_on", "expiry_id")
         live = live.unionByName(archived)
     return live.groupBy("place").agg(
         F.count(F.lit(1)).alias("n"), F.min("mjd").alias("lo"), F.max("mjd").alias("hi")
@@ -815,6 +815,52 @@ add(
 )
 
 
+def _retained_again(t: Tables) -> DataFrame:
+    """Two run folders with the same days in one archive, late rows of expired days, a day's retry."""
+    base = scratch_path(t.spark, "retention-again")
+    slim = t.fx.select("alert_id", "dia_source_id", "mjd", "l_linenumber")
+    as_of = date.fromisoformat(AS_OF[:10])
+    runs = [f"{base}/live/run_id={name}" for name in "ab"]
+
+    def store(rows: DataFrame, run: str) -> None:
+        SG.write_by_day(rows.drop("l_linenumber"), run, "append", partition_days=60)
+
+    def expire(run: str) -> None:
+        E.expire(
+            t.spark, run, 365, archive=f"{base}/archive", as_of=as_of, dry_run=False, partition_days=60
+        )
+
+    store(slim.where("l_linenumber <= 2"), runs[0])
+    store(slim.where("l_linenumber IN (3, 4)"), runs[1])
+    expire(runs[0])
+    store(slim.where("l_linenumber > 4"), runs[0])
+    expire(runs[0])
+    expire(runs[1])
+    expire(runs[1])
+    live = t.spark.read.parquet(f"{base}/live").withColumn("place", F.lit("live"))
+    archived = t.spark.read.parquet(f"{base}/archive").withColumn("place", F.lit("archive"))
+    columns = ["alert_id", "mjd", "place"]
+    return live.select(columns).unionByName(archived.select(columns)).groupBy("place").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("mjd").alias("lo"),
+        F.max("mjd").alias("hi"),
+        F.sum(F.col("alert_id") % 1009).alias("ids"),
+    )
+
+
+add(
+    "retention_again",
+    _retained_again,
+    with_ctes(
+        "fx",
+        f"""SELECT CASE WHEN DATE '1858-11-17' + CAST(floor(mjd / 60) * 60 + 59 AS INTEGER) <
+        DATE '{AS_OF[:10]}' - 365 THEN 'archive' ELSE 'live' END AS place, count(*) AS n,
+        min(mjd) AS lo, max(mjd) AS hi, CAST(sum(alert_id % 1009) AS BIGINT) AS ids
+        FROM fx GROUP BY 1""",
+    ),
+)
+
+
 # --- image stamps --------------------------------------------------------------------------------------
 
 _KINDS_SQL = """, s AS (SELECT *, md5(alert_id || '-' || kind) AS hex, l_tax < 0.08 AS present
