@@ -87,8 +87,9 @@ class GroupProcessor(Processor):
     Python comes in two forms. ``partial`` and ``combine`` work in two steps, so a hot group
     never sits in one task: ``partial`` condenses the part of a group found in one Arrow
     batch to a few rows, ``combine`` makes the record from those. ``per_group`` sees a whole
-    group at once and so needs groups that fit in a task: it is for keys that are bounded by
-    what they are, such as one night of one object.
+    group at once, in one task, however large it is: nothing registered here uses it, and it is
+    kept for functions that cannot be taken apart, over keys bounded by what they are, such as
+    one night of one object.
     """
 
     group_by = "dia_object_id"

@@ -331,15 +331,16 @@ class SnrByObject(PR.GroupProcessor):
 
 
 class SpanByObject(PR.GroupProcessor):
-    """Observed span per object, each group handed to Python whole."""
+    """Observed span per object, in Spark aggregates: no object is held whole."""
 
     name = "span_by_object"
-    result_schema = "dia_object_id long, n long, span double"
 
-    @staticmethod
-    def per_group(key, group):
-        span = float(group["mjd"].max() - group["mjd"].min())
-        return {"dia_object_id": key, "n": len(group), "span": span} if len(group) > 1 else None
+    def columns(self):
+        span = F.max("mjd") - F.min("mjd")
+        return [F.count(F.lit(1)).alias("n"), span.alias("span")]
+
+    def having(self):
+        return F.col("n") > 1
 
 
 add(
