@@ -119,15 +119,15 @@ add(
 )
 
 
-def _tree(t: Tables) -> DataFrame:
-    """CSV files with and without a trail column, tab-separated ones, and JSON packets."""
+def _tree(t: Tables, tree: str = "l_linenumber") -> DataFrame:
+    """CSV files with and without a trail column, and tab-separated ones; rows are dealt by ``tree``, 1 to 4."""
     back = {v: k for k, v in FS.CSV_NAMES.items()}
     root = scratch_path(t.spark, "tree")
     wire = t.fx.select(*[F.col(c).alias(back.get(c, c)) for c in ROW], "l_linenumber", "l_quantity", "l_suppkey")
     for number, more in ((1, []), (2, [F.col("l_quantity").alias("trailLength")]), (3, [(F.col("l_suppkey") % 2 == 0).alias("pixelFlagsBad")])):
-        part = wire.where(F.col("l_linenumber") == number).select(*[back.get(c, c) for c in ROW], *more)
+        part = wire.where(F.expr(tree) == number).select(*[back.get(c, c) for c in ROW], *more)
         E.export(part, f"{root}/csv/{number}", "csv")
-    tabbed = wire.where("l_linenumber = 4").select(*[back.get(c, c) for c in ROW])
+    tabbed = wire.where(F.expr(tree) == 4).select(*[back.get(c, c) for c in ROW])
     tabbed.write.option("header", True).option("sep", "\t").format("csv").save(f"{root}/tabbed")
     return _renamed_tsv(t, root).select(*ROW, F.coalesce(F.get(F.map_values("trail_data"), 0), F.lit(0.0)).alias("trail"))
 
@@ -147,6 +147,15 @@ add(
         FROM fx WHERE l_linenumber <= 4""",
     ),
 )
+add(
+    "file_tree_scan_all",
+    lambda t: _tree(t, "(l_linenumber - 1) % 4 + 1"),
+    with_ctes(
+        "fx",
+        f"""SELECT {ROW_SQL}, CASE WHEN l_linenumber % 4 = 2 THEN CAST(l_quantity AS DOUBLE) ELSE 0 END AS trail
+        FROM fx""",
+    ),
+)
 
 
 def _inventory(t: Tables) -> DataFrame:
