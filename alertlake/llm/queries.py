@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlake.llm import byte_bpe, decontam, line_dedup, ngram_lm, quality_model, quality_rules
+from alertlake.llm import byte_bpe, decontam, hard_negatives, line_dedup, ngram_lm, quality_model, quality_rules
 from alertlake.llm import secret_scan, simhash, token_counts, warc
 from alertlake.llm import oracle as SQL
 from alertlake.llm.common import read
@@ -51,3 +51,4 @@ add(
 )
 add("op6_language_model", lambda spark, d: ngram_lm.report(documents(spark, d)))
 add("op9_warc_derivatives", lambda spark, d: warc.report(read(spark, d, "pages")))
+add("op11_hard_negatives", hard_negatives.report, hard_negatives.SQL)
