@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from alertlake.llm import byte_bpe, chat_format, decontam, hard_negatives, line_dedup, ngram_lm
+from alertlake.llm import byte_bpe, chat_format, conversation_repair, decontam, hard_negatives
+from alertlake.llm import line_dedup, ngram_lm
 from alertlake.llm import quality_model, quality_rules
 from alertlake.llm import secret_scan, simhash, token_counts, warc
 from alertlake.llm import oracle as SQL
@@ -54,3 +55,4 @@ add("op6_language_model", lambda spark, d: ngram_lm.report(documents(spark, d)))
 add("op9_warc_derivatives", lambda spark, d: warc.report(read(spark, d, "pages")))
 add("op11_hard_negatives", hard_negatives.report, hard_negatives.SQL)
 add("op12_chat_format", chat_format.report, chat_format.sql())
+add("op13_conversation_repair", conversation_repair.report, conversation_repair.sql())
