@@ -468,16 +468,14 @@ hurt AS (
 placed AS (
   SELECT conv_id, turn, role, text, role[1:1] AS x,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(role || chr(0) || text)) AS i,
-    NOT regexp_matches(text, '[^ 	-
-]') AS blank,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
-    NOT regexp_matches(text, '[.!?][ 	-
-]*$') AS cut
+    NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut
   FROM hurt),
-judged AS (
-  SELECT *, blank OR again AS gone, cut AND NOT blank AND NOT again AS truncated,
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
     coalesce(lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x NOT IN ('su', 'ua', 'au'), false) AS illegal
   FROM placed),
+judged AS (SELECT *, blank OR again AS gone, cut AND NOT blank AND NOT again AS truncated FROM seen),
 counts AS (
   SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
     count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
