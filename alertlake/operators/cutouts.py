@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import gzip
 import zlib
+from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -246,15 +247,18 @@ class BadImage(ValueError):
     """An image that cannot be decoded."""
 
 
-def decode_image(raw: bytes) -> np.ndarray | None:
-    """Pixels of a simple primary image; None if it declares none."""
-    if raw[:2] == bytes.fromhex(GZIP_MAGIC):
-        try:
-            raw = gzip.decompress(raw)
-        except (OSError, EOFError, zlib.error) as err:
-            raise BadImage(f"broken gzip: {err}") from err
-    if not raw.startswith(bytes.fromhex(IMAGE_MAGIC)):
-        raise BadImage("no SIMPLE card")
+@dataclass(frozen=True)
+class _Layout:
+    """Where the pixels of an image begin, and what they are."""
+
+    start: int
+    axes: tuple[int, ...]
+    dtype: np.dtype
+    scale: float
+    zero: float
+
+
+def _parsed_layout(raw: bytes) -> _Layout:
     cards: dict[str, str] = {}
     at = 0
     while "END" not in cards:
@@ -265,20 +269,39 @@ def decode_image(raw: bytes) -> np.ndarray | None:
         cards.setdefault(card[:8].strip(), value)
         at += CARD
     try:
-        axes = [int(cards[f"NAXIS{i + 1}"]) for i in range(int(cards["NAXIS"]))]
+        axes = tuple(int(cards[f"NAXIS{i + 1}"]) for i in range(int(cards["NAXIS"])))
         dtype = np.dtype(_DTYPES[int(cards["BITPIX"])])
         scale, zero = float(cards.get("BSCALE", 1)), float(cards.get("BZERO", 0))
     except (KeyError, ValueError) as err:
         raise BadImage(f"bad header: {err}") from err
-    count = int(np.prod(axes)) if axes else 0
+    return _Layout(-(-at // BLOCK) * BLOCK, axes, dtype, scale, zero)
+
+
+@lru_cache(maxsize=512)
+def _block_layout(block: bytes) -> _Layout | None:
+    """The layout, if the header ends in its first block; stamps of a survey share few headers."""
+    ends = any(block[at : at + 8].strip() == b"END" for at in range(0, len(block), CARD))
+    return _parsed_layout(block) if ends else None
+
+
+def decode_image(raw: bytes) -> np.ndarray | None:
+    """Pixels of a simple primary image; None if it declares none."""
+    if raw[:2] == bytes.fromhex(GZIP_MAGIC):
+        try:
+            raw = gzip.decompress(raw)
+        except (OSError, EOFError, zlib.error) as err:
+            raise BadImage(f"broken gzip: {err}") from err
+    if not raw.startswith(bytes.fromhex(IMAGE_MAGIC)):
+        raise BadImage("no SIMPLE card")
+    layout = _block_layout(raw[:BLOCK]) or _parsed_layout(raw)
+    count = int(np.prod(layout.axes)) if layout.axes else 0
     if count == 0:
         return None
-    start = -(-at // BLOCK) * BLOCK
-    body = raw[start : start + count * dtype.itemsize]
-    if len(body) < count * dtype.itemsize:
+    body = raw[layout.start : layout.start + count * layout.dtype.itemsize]
+    if len(body) < count * layout.dtype.itemsize:
         raise BadImage("image data is cut short")
-    pixels = np.frombuffer(body, dtype).reshape(axes[::-1])
-    return pixels if (scale, zero) == (1.0, 0.0) else pixels * scale + zero
+    pixels = np.frombuffer(body, layout.dtype).reshape(layout.axes[::-1])
+    return pixels if (layout.scale, layout.zero) == (1.0, 0.0) else pixels * layout.scale + layout.zero
 
 
 def _shape(pixels: np.ndarray) -> str:
@@ -334,31 +357,56 @@ def triplets(stamps: DataFrame, keys: tuple[str, ...] = ("dia_source_id",)) -> D
     return parts[0].join(parts[1], list(keys)).join(parts[2], list(keys))
 
 
-def _compare(science: bytes, template: bytes, difference: bytes) -> tuple:
+def _images(row: tuple) -> list[np.ndarray] | tuple:
+    """The three images of equal shape, or the result of a row that has none."""
     try:
-        images = [decode_image(bytes(raw)) for raw in (science, template, difference)]
+        images = [decode_image(bytes(raw)) for raw in row]
     except (BadImage, TypeError) as err:
         return (None, None, None, None, None, str(err))
     if any(i is None for i in images):
         return (None, None, None, None, None, "no image data")
     if len({i.shape for i in images}) > 1:
         return (False, None, None, None, None, None)
-    sci, tmp, diff = (i.astype("f8") for i in images)
-    spread = float(np.std(diff))
-    return (
-        True,
-        _shape(diff),
-        float(np.sqrt(np.mean((sci - tmp - diff) ** 2))),
-        float(np.max(np.abs(diff))),
-        float(np.max(diff)) / spread if spread > 0 else None,
-        None,
-    )
+    return images
+
+
+#: Pixels of equal shape that are compared at once.
+_PIXELS_AT_ONCE = 1 << 20
+
+
+def _compare_rows(rows: list[tuple | None]) -> list[tuple]:
+    """Results in the order of the rows; None stays a row of nulls. Equal shapes are stacked."""
+    found: list = [(None,) * len(_COMPARED)] * len(rows)
+    by_shape: dict[tuple, list[tuple[int, list[np.ndarray]]]] = {}
+
+    def settle(shape: tuple) -> None:
+        waiting = by_shape.pop(shape)
+        sci, tmp, diff = (np.stack([images[k] for _, images in waiting]).astype("f8") for k in range(3))
+        axes = tuple(range(1, sci.ndim))
+        spread, peak = diff.std(axis=axes), diff.max(axis=axes)
+        rms = np.sqrt(np.mean((sci - tmp - diff) ** 2, axis=axes))
+        most = np.abs(diff).max(axis=axes)
+        for k, (n, _) in enumerate(waiting):
+            snr = float(peak[k] / spread[k]) if spread[k] > 0 else None
+            found[n] = (True, _shape(diff[k]), float(rms[k]), float(most[k]), snr, None)
+
+    for n, row in enumerate(rows):
+        made = None if row is None else _images(row)
+        if isinstance(made, tuple):
+            found[n] = made
+        elif made is not None:
+            waiting = by_shape.setdefault(made[0].shape, [])
+            waiting.append((n, made))
+            if len(waiting) * made[0].size >= _PIXELS_AT_ONCE:
+                settle(made[0].shape)
+    for shape in list(by_shape):
+        settle(shape)
+    return found
 
 
 @F.pandas_udf(_COMPARED)
 def _compared(science: pd.Series, template: pd.Series, difference: pd.Series) -> pd.DataFrame:
-    found = [_compare(*row) for row in zip(science, template, difference)]
-    return pd.DataFrame(found, columns=_COMPARED.names)
+    return pd.DataFrame(_compare_rows(list(zip(science, template, difference))), columns=_COMPARED.names)
 
 
 def _unpacked(raw: bytes) -> bytes | None:
@@ -370,12 +418,11 @@ def _unpacked(raw: bytes) -> bytes | None:
 
 @F.pandas_udf(T.StructType([*_COMPARED.fields, T.StructField("images", _FLAG)]))
 def _compared_images(science: pd.Series, template: pd.Series, difference: pd.Series) -> pd.DataFrame:
-    found = []
-    for row in zip(science, template, difference):
-        plain = [_unpacked(bytes(raw)) for raw in row]
-        images = all(p is not None and p.startswith(bytes.fromhex(IMAGE_MAGIC)) for p in plain)
-        found.append((*(_compare(*plain) if images else (None,) * len(_COMPARED)), images))
-    return pd.DataFrame(found, columns=[*_COMPARED.names, "images"])
+    magic = bytes.fromhex(IMAGE_MAGIC)
+    plain = [tuple(_unpacked(bytes(raw)) for raw in row) for row in zip(science, template, difference)]
+    images = [all(p is not None and p.startswith(magic) for p in row) for row in plain]
+    found = _compare_rows([row if whole else None for row, whole in zip(plain, images)])
+    return pd.DataFrame([(*x, y) for x, y in zip(found, images)], columns=[*_COMPARED.names, "images"])
 
 
 def compare_triplets(rows: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ from alertlake.streaming import ingest as SI
 from alertlake.streaming import reassoc as SR
 
 
-WIDTH = 365  # days per partition: the benchmark rows spread thinly over years
+WIDTH = 60  # days per partition: the benchmark rows spread thinly over years
 
 
 def _map_text(name: str, number: bool) -> F.Column:
@@ -505,7 +505,7 @@ add(
     .select("alert_id", "dia_source_id", "mjd", F.col("mjd_day").cast("bigint").alias("mjd_day")),
     with_ctes(
         "fx",
-        """SELECT alert_id, dia_source_id, mjd, CAST(floor(mjd / 60) * 60 AS BIGINT) AS mjd_day FROM (
+        f"""SELECT alert_id, dia_source_id, mjd, CAST(floor(mjd / {WIDTH}) * {WIDTH} AS BIGINT) AS mjd_day FROM (
         SELECT alert_id, dia_source_id, coalesce(min(mjd) FILTER (mjd < 51000), min(mjd)) AS mjd
         FROM fx GROUP BY 1, 2)""",
     ),
@@ -869,6 +869,8 @@ _KINDS_SQL = """, s AS (SELECT *, md5(alert_id || '-' || kind) AS hex, l_tax < 0
  px AS (SELECT *, list_transform(range(0, 16),
   lambda i: CAST(CAST('0x' || substr(hex, CAST(i * 2 + 1 AS BIGINT), 2) AS INTEGER) AS DOUBLE))
   AS p FROM s)"""
+_PIXELS_SQL = """list_transform(range(0, 16), lambda i: CAST(CAST('0x' ||
+ substr(md5(alert_id || '-{}'), CAST(i * 2 + 1 AS BIGINT), 2) AS INTEGER) AS DOUBLE))"""
 _SCI = "kind = 'science' AND l_linenumber"
 _VERDICT = f"""CASE WHEN NOT present OR ({_SCI} = 5) THEN 'absent'
  WHEN {_SCI} IN (6, 7) THEN 'invalid' ELSE 'valid' END"""
@@ -969,13 +971,11 @@ add(
     ),
     with_ctes(
         "alerts",
-        f"""{_KINDS_SQL}, c AS (SELECT a.alert_id, list_transform(range(1, 17),
-        lambda i: (a.p[CAST(i AS BIGINT)] - b.p[CAST(i AS BIGINT)] - d.p[CAST(i AS BIGINT)]) ** 2)
-        AS sq, d.p AS dp
-        FROM px a, px b, px d WHERE a.kind = 'science' AND b.kind = 'template'
-        AND d.kind = 'difference' AND a.alert_id = b.alert_id AND a.alert_id = d.alert_id
-        AND a.dia_source_id = b.dia_source_id AND a.dia_source_id = d.dia_source_id
-        AND a.present AND a.l_linenumber <= 4)
+        f""", px AS (SELECT alert_id, {_PIXELS_SQL.format("science")} AS sp,
+        {_PIXELS_SQL.format("template")} AS tp, {_PIXELS_SQL.format("difference")} AS dp
+        FROM alerts WHERE l_tax < 0.08 AND l_linenumber <= 4),
+        c AS (SELECT alert_id, dp, list_transform(range(1, 17), lambda i:
+        (sp[CAST(i AS BIGINT)] - tp[CAST(i AS BIGINT)] - dp[CAST(i AS BIGINT)]) ** 2) AS sq FROM px)
         SELECT alert_id, true AS shape_match, '4x4' AS shape,
         round(sqrt(list_avg(sq)) + 3.1e-7, 4) AS residual_rms, list_max(dp) AS diff_peak,
         round(list_max(dp) / list_stddev_pop(dp) + 3.1e-7, 4) AS diff_snr FROM c""",
