@@ -1,7 +1,8 @@
 """Ingestion: validate -> dedupe -> drop stored -> flag reassociations -> append -> state.
 
 A run writes only below ``run_id=<id>`` folders, with overwrite, and never reads its own:
-replaying a run id after a failure gives the same tables again.
+replaying a run id after a failure gives the same tables again. What earlier runs have stored is
+looked up in the key store (``plans/store.py``), in the buckets of the batch's own ids.
 """
 
 from __future__ import annotations
@@ -15,14 +16,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from alertlake.operators import dedupe, reassoc, sets, skew, state, validate
+from alertlake.operators import dedupe, reassoc, sets, skew, validate
 from alertlake.plans import storage
-from alertlake.plans.storage import Lake
-from alertlake.schema import ALERT_COLUMNS, ALERT_KEY, RUN_EVENT_SCHEMA, SOURCE_STATE_SCHEMA
+from alertlake.plans.storage import TABLES, Lake
+from alertlake.plans.store import Store, hash_of
+from alertlake.schema import ALERT_COLUMNS, ALERT_KEY, RUN_EVENT_SCHEMA
 from alertlake.session import scratch_path
 
 # Batches up to this many rows have their keys broadcast (two numbers each: ~16 MB).
 SMALL_BATCH_ROWS = 1_000_000
+STAGED_FILE_ROWS = 100_000
 #: Counts of a run, from the tables that it has written.
 COUNTS = (
     "alerts_received",
@@ -35,24 +38,14 @@ COUNTS = (
 )
 
 
-def current_state(spark: SparkSession, lake: Lake, without_run: str | None = None) -> DataFrame:
-    """One row per source, merged from the state rows of all runs."""
-    rows = lake.read(spark, "states")
-    if without_run is not None:
-        rows = rows.where(F.col("run_id") != without_run)
-    return state.merge_states(rows)
+def current_state(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One row per source, as the runs have left it."""
+    return (Store.read(spark, lake) or Store(spark, lake)).states()
 
 
-def rebuild_state(spark: SparkSession, lake: Lake, run_id: str = "rebuilt") -> None:
-    """Write the state anew from the alert table and drop the per-run state rows it replaces.
-    Also the compaction of the state log."""
-    target = lake.run_path("states", run_id)
-    state.source_state(lake.read(spark, "alerts")).select(
-        *SOURCE_STATE_SCHEMA.fieldNames()
-    ).write.mode("overwrite").parquet(target)
-    for folder in storage.subdirectories(spark, lake.path("states")):
-        if not folder.endswith(f"run_id={run_id}"):
-            storage.drop_directory(spark, folder)
+def rebuild_state(spark: SparkSession, lake: Lake) -> None:
+    """Write keys and states anew from the alert table."""
+    Store.rebuild(spark, lake)
 
 
 def prepare(alerts: DataFrame) -> DataFrame:
@@ -67,9 +60,10 @@ def dry_run(
     spark = alerts.sparkSession
     keys = ("alert_id",) if skip_duplicates else ALERT_KEY
     valid = prepare(alerts).where(validate.is_valid())
-    fresh = sets.not_stored(
-        dedupe.dedupe_alerts(valid), lake.read(spark, "alerts"), keys=keys
-    )
+    store = Store.read(spark, lake)
+    # A broken run may have stored alerts that no segment has yet.
+    stored = lake.read(spark, "alerts") if store is None or store.manifest.pending else store.keys()
+    fresh = sets.not_stored(dedupe.dedupe_alerts(valid), stored, keys=keys)
     return fresh.agg(F.count(F.lit(1)).alias("would_store"))
 
 
@@ -84,13 +78,15 @@ def ingest(
     track_state: bool = True,
     max_alerts: int | None = None,
     undecoded: int = 0,
+    broadcast_rows: int = SMALL_BATCH_ROWS,
 ) -> Row:
     """Run one batch and return its row of the run log. The run is logged as running when it
     begins; a failure is logged as a failed run and raised.
 
     ``max_alerts`` takes the first rows by key, so that a replay takes the same; the rest is
     left to the caller. Streams are bounded at their source instead. ``undecoded`` messages,
-    which never became alerts, count as received and failed.
+    which never became alerts, count as received and failed. Batches of more than
+    ``broadcast_rows`` are shuffled against the store instead of broadcast.
     """
     spark = alerts.sparkSession
     now = datetime.now(timezone.utc)
@@ -106,7 +102,7 @@ def ingest(
     clock, counts = time.monotonic(), Counter()
     try:
         bounded = alerts.orderBy(*ALERT_KEY, "mjd").limit(max_alerts) if max_alerts else alerts
-        _run(spark, bounded, lake, row["run_id"], counts, skip_duplicates, track_state)
+        _run(spark, bounded, lake, row["run_id"], counts, skip_duplicates, track_state, broadcast_rows)
         counts.update(alerts_received=undecoded, alerts_failed=undecoded)
         row["status"] = "completed"
     except Exception as err:
@@ -128,32 +124,39 @@ def _run(
     counts: Counter,
     skip_duplicates: bool,
     track_state: bool,
+    broadcast_rows: int,
 ) -> None:
     """Stores the batch; ``counts`` is filled as the steps are done."""
     # 1. Checked rows go to a written table in the shared folder, without a shuffle. It cuts
     # the lineage, the steps below read single columns of it instead of parsing the input
     # again, and the counts come from it (metrics of running tasks repeat with the tasks).
     staging = scratch_path(spark, f"staging-{run_id}")
-    validate.annotate_violations(prepare(alerts)).write.parquet(staging)
+    # Bounded files: the steps below then have work for many tasks, however few read the input.
+    checked = validate.annotate_violations(prepare(alerts))
+    checked.write.option("maxRecordsPerFile", STAGED_FILE_ROWS).parquet(staging)
     staged = spark.read.parquet(staging)
     accepted = F.size(validate.FAILED) == 0
     valid = staged.where(accepted).drop(validate.FAILED)
-    counts["alerts_received"], counts["alerts_failed"] = staged.agg(
-        F.count(F.lit(1)), F.count_if(~accepted)
+    hashes = [F.collect_set(F.when(accepted, hash_of(c))) for c in ALERT_KEY]
+    received, failed, key_hashes, source_hashes = staged.agg(
+        F.count(F.lit(1)), F.count_if(~accepted), *hashes
     ).first()
-    small = counts["alerts_received"] <= SMALL_BATCH_ROWS
-    if counts["alerts_failed"]:
+    counts["alerts_received"], counts["alerts_failed"] = received, failed
+    small = received <= broadcast_rows
+    if failed:
         staged.where(~accepted).write.mode("overwrite").parquet(
             lake.run_path("quarantine", run_id)
         )
 
-    # 2. Rows not stored by another run, flagged against the stored state of their source.
-    others = lake.read(spark, "alerts").where(F.col("run_id") != run_id)
+    # 2. Rows not stored by another run, flagged against the stored state of their source. Of
+    # both, only the buckets that the batch falls in are read.
+    store = Store.begin(spark, lake, run_id)
     keys = ("alert_id",) if skip_duplicates else ALERT_KEY
-    fresh = sets.not_stored(dedupe.dedupe_alerts(valid), others, keys=keys, small_batch=small)
+    known = store.keys(key_hashes)
+    fresh = sets.not_stored(dedupe.dedupe_alerts(valid), known, keys=keys, small_batch=small)
     flagged = fresh.withColumn("is_new_source", F.lit(None).cast("boolean"))
     if track_state:
-        prior = current_state(spark, lake, without_run=run_id)
+        prior = store.states(source_hashes)
         # With no source above a chunk, a batch is compared in one window over one pass.
         flagged = _flag(fresh, prior, valid, small)
 
@@ -165,7 +168,7 @@ def _run(
         target,
         partition_days=lake.partition_days,
     )
-    written = lake.read(spark, "alerts").where(F.col("run_id") == run_id)
+    written = spark.read.schema(TABLES["alerts"]).parquet(target)
     stored = ("alerts_ingested", "reassociations_detected", "new_sources")
     found = written.agg(
         F.count(F.lit(1)), F.count_if("is_reassociation"), F.count_if("is_new_source")
@@ -173,9 +176,7 @@ def _run(
     counts.update(dict(zip(stored, found, strict=True)))
     if track_state:
         counts["updated_sources"] = counts["alerts_ingested"] - counts["new_sources"]
-        state.source_state(written).select(*SOURCE_STATE_SCHEMA.fieldNames()).write.mode(
-            "overwrite"
-        ).parquet(lake.run_path("states", run_id))
+    store.finish(run_id, track_state)
     storage.drop_directory(spark, staging)
 
 

@@ -24,7 +24,6 @@ TABLES: dict[str, T.StructType] = {
             T.StructField("mjd_day", T.IntegerType()),
         ]
     ),
-    "states": T.StructType([*SC.SOURCE_STATE_SCHEMA.fields, _RUN]),
     "filtered": T.StructType(
         [
             T.StructField("alert_id", T.LongType()),
@@ -70,6 +69,14 @@ def subdirectories(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Files right in the folder."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isFile())
+
+
 def data_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
     """(path, bytes, time of change) of the files below ``folder`` that Spark would read."""
     fs, p = hadoop_path(spark, folder)
@@ -123,10 +130,13 @@ def read_text(spark: SparkSession, path: str) -> str:
 class Lake:
     """Tables below one root folder. Alerts are partitioned by day; a sparse table may take
     several days per partition. The widths that were written are noted in the table ``layout``,
-    and what ``read`` returns carries the widest, so that windows can skip partitions."""
+    and what ``read`` returns carries the widest, so that windows can skip partitions.
+    ``bucket_rows`` and ``merge_at`` shape the key store (``plans/store.py``)."""
 
     root: str
     partition_days: int = 1
+    bucket_rows: int = 1_000_000
+    merge_at: int = 8
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"

@@ -550,6 +550,32 @@ add(
 )
 
 
+def _many_batches(t: Tables) -> SG.Lake:
+    """Twelve batches in order of time, every other one shuffled against the store, the last one
+    twice. Buckets and merges are small, so that keys and states pass through both."""
+    lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH, bucket_rows=4000, merge_at=3)
+    alerts = _as_alerts(t.fx)
+    step = F.least(F.greatest(F.floor((F.col("mjd") - 48600) / 220), F.lit(0)), F.lit(11))
+    for k in (*range(12), 11):
+        I.ingest(alerts.where(step == k), lake, run_id=f"batch-{k}", broadcast_rows=10**6 * (k % 2))
+    return lake
+
+
+add(
+    "ingest_many_batches",
+    lambda t: I.current_state(t.spark, _many_batches(t)).select(
+        "dia_source_id", "first_seen_mjd", "last_seen_mjd", "observation_count", "last_alert_id"
+    ),
+    with_ctes(
+        "fx",
+        """, k AS (SELECT alert_id, dia_source_id, min(mjd) AS mjd FROM fx GROUP BY 1, 2)
+        SELECT dia_source_id, min(mjd) AS first_seen_mjd, max(mjd) AS last_seen_mjd,
+        count(*) AS observation_count, arg_max(alert_id, mjd * 1e12 + alert_id) AS last_alert_id
+        FROM k GROUP BY 1""",
+    ),
+)
+
+
 def _dry_run(t: Tables) -> DataFrame:
     lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH)
     alerts = _as_alerts(t.fx)
