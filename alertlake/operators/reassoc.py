@@ -33,19 +33,20 @@ def detect_reassociations(
     alerts: DataFrame,
     prior_state: DataFrame | None = None,
     *,
-    rows_per_chunk: int = skew.ROWS_PER_CHUNK,
     probe: DataFrame | None = None,
     small_batch: bool = False,
     any_hot: bool = True,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Set is_reassociation, reassociation_reason and is_new_source on deduplicated alerts.
 
     Each row is compared with the row before it, by (mjd, alert_id), of the same source;
     the first row of a source with its stored state, if it has one. The stored state joins
     the window as one more row that precedes all others, so no separate join is needed.
-    ``probe`` is a cheaper superset of the alerts (see ``skew``); ``small_batch`` says that
-    its row count was checked, so that its source ids are broadcast to the stored state.
-    ``any_hot=False`` says that no source exceeds a chunk (``skew.has_hot_key``).
+    ``probe`` is a cheaper superset of the alerts, from which the sources are taken whose
+    state is wanted; ``small_batch`` says that its row count was checked, so that its source
+    ids are broadcast to the stored state. ``any_hot=False`` says that no source is hot
+    (``skew.has_hot_key``), ``tasks`` how many tasks share the rows.
     """
     rows = alerts.drop("is_reassociation", "reassociation_reason")
     seed = None
@@ -66,8 +67,7 @@ def detect_reassociations(
         "dia_source_id",
         ARRIVAL_ORDER,
         (_ID, _TIME),
-        rows_per_chunk=rows_per_chunk,
-        probe=probe,
+        tasks=tasks,
         any_hot=any_hot,
     )
     if seed is not None:

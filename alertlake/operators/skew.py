@@ -1,109 +1,125 @@
 """Previous row per key, without ever giving one task a whole hot key.
 
-A plain ``lag`` over ``partitionBy(key)`` sends every row of a key to one task. Here a key
-with more than ``rows_per_chunk`` rows is cut into ordered chunks by splitters drawn from
-its own rows, each chunk is a window partition of its own, and the last row of a chunk is
-handed to the first row of the next. Keys below the limit keep chunk 0, and a table without
-hot keys pays one narrow pre-aggregated count.
-
-Size bounds of what is broadcast: hot keys number at most rows / rows_per_chunk, and all
-their splitters together about OVERSAMPLE times that, each two numbers wide: some tens of
-MB for 1e11 rows and the default chunk.
+A plain ``lag`` over ``partitionBy(key)`` sends every row of a key to one task. Here rows are
+dealt by ranges of (key, order), which cut a hot key wherever it is long, and sorted. Each
+task looks back inside its own rows, a batch at a time; its first row has its previous row in
+an earlier task. A second look at the same shuffle takes the first and the last row of each
+task: a scan over these, one small row for each task, finds what precedes each first row.
+
+Both looks have to see the same ranges. Spark reads one shuffle for both, as the plans below are
+equal and their number of ranges is given; should it ever deal twice, first rows would not be
+found among the heads, and the query stops instead of losing a previous row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-ROWS_PER_CHUNK = 2_000_000
-OVERSAMPLE = 4  # splitters per chunk; evens out chunk sizes
-MAX_SPLITTERS = 4096  # per key: bounds the search per row, the chunks grow beyond it
-STRIDE = 64
+#: A key with more rows than this is hot: ``has_hot_key`` tells a caller that has to choose.
+ROWS_PER_TASK = 2_000_000
 
-CHUNK = "_chunk"
 PREVIOUS = "_previous"
+_TASK, _HEAD = "_task", "_head"
 
 
-def hot_key_splitters(
-    rows: DataFrame, key: str, order: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK
-) -> DataFrame:
-    """(key, _bounds, _coarse) for keys above the limit; _bounds holds order tuples."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = F.least(
-        F.ceil(F.col("_n") * F.lit(float(OVERSAMPLE)) / F.lit(float(rows_per_chunk))),
-        F.lit(MAX_SPLITTERS),
-    )
-    hot = counts.where(F.col("_n") > rows_per_chunk).withColumn("_wanted", wanted)
-    # Chosen by hash, so that a re-run of a lost task picks the same splitters.
-    chosen = F.pmod(F.xxhash64(key, *order), F.col("_n")) < F.col("_wanted")
-    picked = rows.select(key, *order).join(F.broadcast(hot), key).where(chosen)
-    bounds = picked.groupBy(key).agg(
-        F.sort_array(F.collect_set(F.struct(*order))).alias("_bounds")
-    )
-    every = F.filter("_bounds", lambda _, i: (i + 1) % STRIDE == 0)
-    return bounds.withColumn("_coarse", every)
-
-
-def has_hot_key(rows: DataFrame, key: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> bool:
-    """Whether a key has more rows than a chunk; a narrow job that counts keys before it shuffles."""
+def has_hot_key(rows: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> bool:
+    """Whether a key has more rows than a task should get; keys are counted before they are shuffled."""
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return not counts.where(F.col("n") > rows_per_chunk).limit(1).isEmpty()
-
-
-def _chunk_number(order: Sequence[str]) -> Column:
-    """How many splitters are at or below the row: coarse steps first, then within one."""
-    point = F.struct(*order)
-    steps = F.size(F.filter("_coarse", lambda b: b <= point))
-    rest = F.slice("_bounds", steps * STRIDE + 1, F.lit(STRIDE))
-    fine = F.size(F.filter(rest, lambda b: b <= point))
-    return F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(steps * STRIDE + fine)
+    return not counts.where(F.col("n") > rows_per_task).limit(1).isEmpty()
+
+
+def _look_back(key: str, values: Sequence[str], struct: pa.StructType):
+    """Adds PREVIOUS to sorted rows, and whether a row is the first of its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None  # key and values of the row before this batch
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = {c: batch.column(batch.schema.get_field_index(c)) for c in (key, *values)}
+            first = before is None
+            if first:
+                before = {c: pa.nulls(1, x.type) for c, x in columns.items()}
+            shifted = {c: pa.concat_arrays([before[c], x.slice(0, n - 1)]) for c, x in columns.items()}
+            now, ahead = columns[key], shifted[key]
+            same = pc.or_(
+                pc.fill_null(pc.equal(now, ahead), False), pc.and_(pc.is_null(now), pc.is_null(ahead))
+            )
+            if first:
+                same = pa.concat_arrays([pa.array([False]), same.slice(1)])
+            previous = pa.StructArray.from_arrays(
+                [shifted[c].cast(f.type) for c, f in zip(values, struct)], fields=list(struct), mask=pc.invert(same)
+            )
+            before = {c: x.slice(n - 1, 1) for c, x in columns.items()}
+            head = pa.array([first] + [False] * (n - 1), pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, previous, head], names=[*batch.schema.names, PREVIOUS, _HEAD]
+            )
+
+    return run
+
+
+def _ends(point: Sequence[str], carried: Sequence[str], schema: pa.Schema):
+    """(task, point of its first row, carried columns of its last row) of the sorted rows of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        head = tail = None
+        for batch in batches:
+            if batch.num_rows:
+                tail = batch.slice(batch.num_rows - 1, 1)
+                head = batch.slice(0, 1) if head is None else head
+        if head is None:
+            return
+
+        def struct(row: pa.RecordBatch, names: Sequence[str], kind: pa.DataType) -> pa.Array:
+            columns = [row.column(row.schema.get_field_index(c)).cast(f.type) for c, f in zip(names, kind)]
+            return pa.StructArray.from_arrays(columns, fields=list(kind))
+
+        task = pa.array([TaskContext.get().partitionId()], pa.int32())
+        first = struct(head, point, schema.field("head").type)
+        last = struct(tail, carried, schema.field("tail").type)
+        yield pa.RecordBatch.from_arrays([task, first, last], schema=schema)
+
+    return run
 
 
 def with_previous(
-    rows: DataFrame,
-    key: str,
-    order: Sequence[str],
-    values: Sequence[str],
-    *,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    probe: DataFrame | None = None,
-    any_hot: bool = True,
+    rows: DataFrame, key: str, order: Sequence[str], values: Sequence[str], *, tasks: int | None = None, any_hot: bool = True
 ) -> DataFrame:
     """Add struct ``_previous`` of ``values`` of the preceding row of the key (null if none).
 
-    ``order`` must be a total order within the key, without nulls. ``probe`` may be a
-    cheaper superset of the rows (key and order columns) from which hot keys are found.
-    ``any_hot=False`` says that ``has_hot_key`` was asked: one window is then enough.
+    ``order`` must be a total order within the key, without nulls. ``tasks`` is the number of
+    ranges; by default that of the session's shuffles. ``any_hot=False`` says that
+    ``has_hot_key`` was asked: one window is then enough.
     """
     if not any_hot:
         window = Window.partitionBy(key).orderBy(*order)
         return rows.withColumn(PREVIOUS, F.lag(F.struct(*values)).over(window))
-    source = probe if probe is not None else rows
-    splitters = hot_key_splitters(source, key, order, rows_per_chunk)
-    carried = F.struct(*values)
-
-    chunked = rows.join(F.broadcast(splitters), key, "left").withColumn(
-        CHUNK, _chunk_number(order)
-    )
-    inside = Window.partitionBy(key, CHUNK).orderBy(*order)
-    lagged = chunked.drop("_bounds", "_coarse").withColumn(PREVIOUS, F.lag(carried).over(inside))
-
-    # Last row of every chunk of a hot key, moved on to the next chunk that has rows.
-    tails = (
-        rows.select(key, *dict.fromkeys([*order, *values]))
-        .join(F.broadcast(splitters), key)
-        .withColumn(CHUNK, _chunk_number(order))
-        .groupBy(key, CHUNK)
-        .agg(F.max_by(carried, F.struct(*order)).alias("_tail"))
-    )
-    handed = tails.select(
-        key, CHUNK, F.lag("_tail").over(Window.partitionBy(key).orderBy(CHUNK)).alias("_handed")
-    ).where(F.col("_handed").isNotNull())
-    return (
-        lagged.join(F.broadcast(handed), [key, CHUNK], "left")
-        .withColumn(PREVIOUS, F.coalesce(PREVIOUS, "_handed"))
-        .drop("_handed", CHUNK)
-    )
+    from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    point, carried = [key, *order], [key, *(c for c in values if c != key)]
+    kind = lambda names: T.StructType([T.StructField(c, rows.schema[c].dataType) for c in names])
+    dealt = rows.repartitionByRange(tasks, *point).sortWithinPartitions(*point)
+
+    schema = T.StructType().add(_TASK, "integer").add("head", kind(point)).add("tail", kind(carried))
+    ends = dealt.mapInArrow(_ends(point, carried, to_arrow_schema(schema)), schema)
+    handed = ends.select("head", F.lag("tail").over(Window.orderBy(_TASK)).alias("handed"))
+
+    wide = T.StructType([*rows.schema.fields, T.StructField(PREVIOUS, kind(values)), T.StructField(_HEAD, T.BooleanType())])
+    looked = dealt.mapInArrow(_look_back(key, values, to_arrow_type(kind(values))), wide)
+    lost = F.raise_error(F.lit("two deals of one shuffle have different ranges")).cast(kind(values))
+    joined = looked.join(F.broadcast(handed), F.when(F.col(_HEAD), F.struct(*point)) == F.col("head"), "left")
+    before = F.struct(*(F.col(f"handed.{c}").alias(c) for c in values))
+    previous = F.when(~F.col(_HEAD), F.col(PREVIOUS)).when(F.col("head").isNull(), lost)
+    same = F.col("handed").isNotNull() & F.col(f"handed.{key}").eqNullSafe(F.col(key))
+    return joined.withColumn(PREVIOUS, previous.when(same, before)).drop("head", "handed", _HEAD)

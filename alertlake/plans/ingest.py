@@ -157,7 +157,7 @@ def _run(
     flagged = fresh.withColumn("is_new_source", F.lit(None).cast("boolean"))
     if track_state:
         prior = store.states(source_hashes)
-        # With no source above a chunk, a batch is compared in one window over one pass.
+        # Without a hot source, a batch is compared in one window over one pass.
         flagged = _flag(fresh, prior, valid, small)
 
     lake.note_day_width(spark)

@@ -205,12 +205,16 @@ add(
 
 
 def _hot_source(t: Tables) -> DataFrame:
-    """A third of all alerts share one source, which is cut into chunks of few rows."""
+    """A third of all alerts share one source, whose rows many tasks share."""
     hot = F.when(F.col("alert_id") % 3 == 0, F.lit(1)).otherwise(F.col("dia_source_id"))
+    return _detected(t, hot)
+
+
+def _detected(t: Tables, hot: F.Column) -> DataFrame:
     rows = t.alerts.select(
         "alert_id", hot.cast("long").alias("dia_source_id"), "mjd", "ss_object_id", "ss_object_reassoc_time_mjd"
     )
-    return R.detect_reassociations(rows, rows_per_chunk=1000).select(
+    return R.detect_reassociations(rows, tasks=32).select(
         "alert_id", "dia_source_id", "is_reassociation", "is_new_source"
     )
 
@@ -272,3 +276,17 @@ add(
         count(*) FILTER (l_linenumber = 5) AS undecoded FROM fx""",
     ),
 )
+add(
+    "detect_single_source",
+    lambda t: _detected(t, F.lit(1)),
+    with_ctes(
+        "alerts",
+        """, p AS (SELECT *, ss_object_id AS id, ss_object_reassoc_time_mjd AS tm, row_number() OVER w AS nth,
+          lag(ss_object_id) OVER w AS pid, lag(ss_object_reassoc_time_mjd) OVER w AS ptm
+          FROM alerts WINDOW w AS (ORDER BY mjd, alert_id))
+        SELECT alert_id, CAST(1 AS BIGINT) AS dia_source_id, nth > 1 AND coalesce(
+          CASE WHEN pid IS NULL AND id IS NOT NULL THEN true
+          WHEN pid <> id THEN true WHEN ptm <> tm THEN true END, false) AS is_reassociation,
+          nth = 1 AS is_new_source FROM p""",
+    ),
+)

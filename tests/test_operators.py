@@ -57,28 +57,41 @@ def test_reassociation_uses_prior_state(spark):
     ]
 
 
-@pytest.mark.parametrize("rows_per_chunk", [1, 2, 7, 100, 10**6])
-def test_hot_key_chunks_equal_plain_lag(spark, rows_per_chunk):
-    """A third of the rows share one source, many of them one instant."""
+@pytest.mark.parametrize("tasks", [1, 2, 7, 100])
+@pytest.mark.parametrize("hot", [0, 3, 1])
+def test_previous_row_equals_plain_lag(spark, tasks, hot):
+    """No source, a third of the rows or all of them hot, many rows at one instant, null keys and values."""
+    share = F.col("id") % hot == 0 if hot else F.lit(False)
+    source = F.when(share, 1).otherwise(F.when(F.col("id") % 50 > 1, F.col("id") % 50))
     base = spark.range(900).select(
         F.col("id").alias("alert_id"),
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).cast("long").alias("dia_source_id"),
+        source.cast("long").alias("dia_source_id"),
         F.when(F.col("id") % 2 == 0, 5.0).otherwise(F.col("id") / 10).alias("mjd"),
+        F.when(F.col("id") % 4 > 0, F.concat(F.lit("v"), "id")).alias("name"),
+        F.create_map(F.lit("k"), "id").alias("kept"),
     )
-    got = skew.with_previous(
-        base, "dia_source_id", ("mjd", "alert_id"), ("alert_id",), rows_per_chunk=rows_per_chunk
-    ).select("alert_id", F.col("_previous.alert_id").alias("prev"))
+    order, values = ("mjd", "alert_id"), ("alert_id", "name")
+    found = skew.with_previous(base, "dia_source_id", order, values, tasks=tasks)
+    assert found.columns == [*base.columns, skew.PREVIOUS]
     last: dict = {}
     want = {}
     for r in sorted(base.collect(), key=lambda r: (r["mjd"], r["alert_id"])):
         want[r["alert_id"]] = last.get(r["dia_source_id"])
-        last[r["dia_source_id"]] = r["alert_id"]
-    assert {r["alert_id"]: r["prev"] for r in got.collect()} == want
-    assert skew.has_hot_key(base, "dia_source_id", rows_per_chunk) == (rows_per_chunk < 900)
-    plain = skew.with_previous(
-        base, "dia_source_id", ("mjd", "alert_id"), ("alert_id",), any_hot=False
-    ).select("alert_id", F.col("_previous.alert_id").alias("prev"))
-    assert {r["alert_id"]: r["prev"] for r in plain.collect()} == want
+        last[r["dia_source_id"]] = (r["alert_id"], r["name"])
+    got = {r["alert_id"]: r[skew.PREVIOUS] for r in found.collect()}
+    assert {k: v and tuple(v) for k, v in got.items()} == want
+    assert skew.has_hot_key(base, "dia_source_id", 200) == bool(hot)
+    plain = skew.with_previous(base, "dia_source_id", order, values, any_hot=False)
+    assert {r["alert_id"]: r[skew.PREVIOUS] and tuple(r[skew.PREVIOUS]) for r in plain.collect()} == want
+
+
+def test_previous_row_shuffles_rows_once(spark, tables):
+    rows = tables.fx.select("alert_id", "dia_source_id", "mjd", "ss_object_id")
+    found = skew.with_previous(rows, "dia_source_id", ("mjd", "alert_id"), ("ss_object_id",))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("+- Exchange rangepartitioning") == 1 and plan.count("ReusedExchange") == 1
+    assert plan.count("hashpartitioning") == 0 and plan.count("SinglePartition") == 1
 
 
 def test_dedupe_limits_groups_before_the_shuffle(spark, tables):
