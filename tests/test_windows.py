@@ -123,14 +123,41 @@ def test_package_reaches_workers_from_another_folder(tmp_path):
     assert "VERDICT corrupt" in run.stdout, run.stderr[-2000:]
 
 
-def test_medians_outside_their_bracket(spark, monkeypatch):
+@pytest.mark.parametrize("values_per_task", [20, 10**6])
+def test_medians_narrow_to_the_middle(spark, monkeypatch, values_per_task):
+    import random
+    import statistics
+
     from alertlake.operators import quantiles
 
-    rows = spark.createDataFrame([("d", float(v), None if v % 2 else 1.0) for v in range(101)], "k string, x double, y double")
-    want = quantiles.exact_medians(rows, ["k"], ["x", "y"]).first()
-    assert (want.x_median, want.y_median) == (50.0, 1.0)
-    monkeypatch.setattr(quantiles, "MARGIN", -0.3)  # brackets that hold nothing
-    assert quantiles.exact_medians(rows, ["k"], ["x", "y"]).first() == want
+    monkeypatch.setattr(quantiles, "BINS", 256)
+    r = random.Random(6)
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "even": [float(v) for v in range(101)],
+        "two ends": [-1e300] * 50 + [1e300] * 50,
+        "far apart": [r.choice([-1, 1]) * 10 ** r.uniform(-300, 300) for _ in range(400)],
+        "close": [60000 + r.randrange(3000) * 1e-9 for _ in range(501)],
+        "tiny": [r.random() * 1e-30 for _ in range(100)],
+        "copies": [7.0] * 900 + [r.random() for _ in range(800)],
+        "infinite": [-inf] * 3 + [inf] * 4 + [1.0, 2.0],
+        "nan": [1.0, 2.0, nan, nan, nan],
+        "zeros": [0.0, -0.0, 0.0, 5e-324],
+        "one": [3.5],
+        None: [4.0, 2.0, 9.0],
+    }
+    rows = [(k, v, None if n % 2 else 1.0) for k, values in groups.items() for n, v in enumerate(values)]
+    frame = spark.createDataFrame([*rows, ("empty", None, None)], "k string, x double, y double").repartition(5)
+    got = {x.k: (x.x_median, x.y_median) for x in quantiles.exact_medians(frame, ["k"], ["x", "y"], values_per_task).collect()}
+    above = lambda v: (v != v, v)
+
+    def median(values):
+        ordered = sorted(values, key=above)
+        return (ordered[(len(ordered) - 1) // 2] + ordered[len(ordered) // 2]) / 2
+
+    assert median(groups["even"]) == statistics.median(groups["even"])
+    want = {k: (median(values), 1.0) for k, values in groups.items() if k is not None}
+    assert {k: repr(v) for k, v in got.items() if k is not None} == {k: repr(v) for k, v in want.items()}
 
 
 def test_registry_reads_orbits_and_loci(spark, tmp_path):
