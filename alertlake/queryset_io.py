@@ -13,6 +13,7 @@ from alertlake.functions import exprs as X
 from alertlake.operators import cutouts as C
 from alertlake.operators import presets as P
 from alertlake.operators import reassoc as R
+from alertlake.operators import state as ST
 from alertlake.operators import views as VW
 from alertlake.plans import catalog as CT
 from alertlake.plans import export as E
@@ -644,14 +645,24 @@ add(
 )
 
 
+_STATE_COLUMNS = ("alert_id", "dia_source_id", "mjd", "ss_object_id", "ss_object_reassoc_time_mjd")
+
+
+def _state_stream(t: Tables, parts: list[F.Column], **options) -> DataFrame:
+    """The alerts of each part as one run of a stream with state, the next run going on from it."""
+    t.spark.conf.set(SR.PROVIDER, SR.ROCKSDB)
+    written, out, offsets = (scratch_path(t.spark, f"stream-{x}") for x in ("alerts", "flags", "state"))
+    rows = t.alerts.select(*_STATE_COLUMNS)
+    for part in parts:
+        rows.where(part).write.mode("append").parquet(written)
+        stream = t.spark.readStream.schema(rows.schema).parquet(written)
+        writer = SR.detect_in_stream(stream, **options).writeStream.format("parquet").option("path", out)
+        SI.run_bounded(writer.option("checkpointLocation", offsets).trigger(availableNow=True).start())
+    return t.spark.read.parquet(out).drop("ss_object_reassoc_time_mjd")
+
+
 def _stream_reassociation(t: Tables) -> DataFrame:
-    written = scratch_path(t.spark, "stream-alerts")
-    columns = ["alert_id", "dia_source_id", "mjd", "ss_object_id", "ss_object_reassoc_time_mjd"]
-    t.alerts.select(*columns).write.parquet(written)
-    stream = t.spark.readStream.schema(t.spark.read.parquet(written).schema).parquet(written)
-    return _to_parquet(SR.detect_in_stream(stream), "stream-flags").drop(
-        "ss_object_reassoc_time_mjd"
-    )
+    return _state_stream(t, [F.lit(True)])
 
 
 add(
@@ -665,6 +676,33 @@ add(
 )
 
 
+_EXPIRING = """SELECT alert_id, dia_source_id, mjd, ss_object_id,
+ reassociation_reason IS NOT NULL AND NOT coalesce(mjd - pmjd > 90, false) AS is_reassociation,
+ CASE WHEN NOT coalesce(mjd - pmjd > 90, false) THEN reassociation_reason END AS reassociation_reason,
+ is_new_source OR mjd - pmjd > 90 AS is_new_source
+ FROM (SELECT *, lag(mjd) OVER (PARTITION BY dia_source_id ORDER BY mjd, alert_id) AS pmjd FROM flagged)"""
+add(
+    "stream_state_expiry",
+    lambda t: _state_stream(
+        t, [F.col("mjd") < 50400, F.col("mjd") >= 50400], expire_days=90
+    ),
+    with_ctes("flagged", _EXPIRING),
+)
+add(
+    "stream_state_bootstrap",
+    lambda t: _state_stream(
+        t,
+        [F.col("mjd") >= 50400],
+        prior_state=ST.source_state(t.alerts.where("mjd < 50400")),
+    ),
+    with_ctes(
+        "flagged",
+        """SELECT alert_id, dia_source_id, mjd, ss_object_id, is_reassociation,
+        reassociation_reason, is_new_source FROM flagged WHERE mjd >= 50400""",
+    ),
+)
+
+
 # --- files out and back ------------------------------------------------------------------------------
 
 

@@ -1,11 +1,18 @@
-"""Reassociation detection with state per source, carried across micro-batches and runs."""
+"""Reassociation detection with state per source, carried across micro-batches and runs.
+
+The rows of a source in a micro-batch come as Arrow batches and are compared as columns; the trigger's
+size limit bounds them. State can begin with that of a stored table, and goes when a source has been
+silent for so many days of its own time.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from operator import itemgetter
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -14,7 +21,7 @@ from alertlake.schema import ARRIVAL_ORDER
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ID, _TIME = "ss_object_id", "ss_object_reassoc_time_mjd"
+_ID, _TIME, _AT = "ss_object_id", "ss_object_reassoc_time_mjd", "_observed_at"
 _FLAGS = T.StructType(
     [
         T.StructField("is_reassociation", T.BooleanType()),
@@ -22,63 +29,96 @@ _FLAGS = T.StructType(
         T.StructField("is_new_source", T.BooleanType()),
     ]
 )
-
-
-def _reason(last_id, last_time, now_id, now_time) -> str | None:
-    if now_id is not None and last_id != now_id:
-        return NEW if last_id is None else CHANGED
-    timed = last_time is not None and now_time is not None
-    return UPDATED if timed and last_time != now_time else None
+_DAY_MS = 86_400_000
+_EPOCH_MJD = 40587.0  # fixed value: 1970-01-01
 
 
 class LastAssociation(StatefulProcessor):
-    """State: association of the last row seen of a source, dropped after ``ttl_days``
-    without a new row."""
+    """State: association and time of the last row seen of a source."""
 
-    def __init__(self, ttl_days: float | None) -> None:
-        self._ttl = None if ttl_days is None else int(ttl_days * 86_400_000)
+    def __init__(self, columns: list[str], expire_days: float | None) -> None:
+        self._columns, self._days = columns, expire_days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState(
-            "last", f"{_ID} string, {_TIME} double", ttlDurationMs=self._ttl
-        )
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # The rows of one source in one micro-batch; the trigger's size limit bounds them.
-        seen = self._last.exists()
-        last_id, last_time = self._last.get() if seen else (None, None)
-        for row in sorted(rows, key=itemgetter(*ARRIVAL_ORDER)):
-            now_id, now_time = row[_ID], row[_TIME]
-            reason = _reason(last_id, last_time, now_id, now_time) if seen else None
-            yield Row(
-                **row.asDict(),
-                is_reassociation=reason is not None,
-                reassociation_reason=reason,
-                is_new_source=not seen,
-            )
-            seen, last_id, last_time = True, now_id, now_time
-        self._last.update((last_id, last_time))
+        self._handle = handle
+        self._last = handle.getValueState("last", f"{_ID} string, {_TIME} double, mjd double")
+
+    def _keep(self, ident: str | None, time: float | None, mjd: float) -> None:
+        self._last.update((ident, time, mjd))
+        if self._days is not None:
+            self._handle.registerTimer(int((mjd - _EPOCH_MJD + self._days) * _DAY_MS) + 1)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[-1]
+        given = lambda x: None if pd.isna(x) else x
+        time = given(row["ss_object_reassoc_time"])
+        self._keep(given(row[_ID]), None if time is None else float(time), float(row["last_seen_mjd"]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows), ignore_index=True)
+        found = found.sort_values(list(ARRIVAL_ORDER), ignore_index=True)
+        before = self._last.get() if self._last.exists() else (None, None, None)
+        ident = found[_ID].astype(object).where(found[_ID].notna(), None)
+        time, mjd = found[_TIME].astype(float), found["mjd"].astype(float)
+        last_id = ident.shift(1).where(ident.shift(1).notna(), None)
+        last_time, last_mjd = time.shift(1), mjd.shift(1)
+        last_id[0] = before[0]
+        last_time[0] = np.nan if before[1] is None else before[1]
+        last_mjd[0] = np.nan if before[2] is None else before[2]
+
+        fresh = last_mjd.isna()
+        if self._days is not None:
+            fresh |= mjd - last_mjd > self._days
+        changed = ident.notna() & (last_id != ident)
+        moved = last_time.notna() & time.notna() & (last_time != time)
+        reason = np.select([fresh, changed & last_id.isna(), changed, moved], ["", NEW, CHANGED, UPDATED], "")
+        made = found[self._columns].copy()
+        made["is_reassociation"] = reason != ""
+        made["reassociation_reason"] = pd.Series(reason, dtype=object).where(reason != "", None)
+        made["is_new_source"] = fresh.to_numpy()
+        end = time.iloc[-1]
+        self._keep(ident.iloc[-1], None if pd.isna(end) else float(end), float(mjd.iloc[-1]))
+        yield made
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._last.exists():
+            seen = self._last.get()[2]
+            if (seen - _EPOCH_MJD + self._days) * _DAY_MS < expiredTimerInfo.getExpiryTimeInMs():
+                self._last.clear()
+        yield pd.DataFrame(columns=[*self._columns, *_FLAGS.fieldNames()])
 
     def close(self) -> None:
         pass
 
 
-def detect_in_stream(alerts: DataFrame, *, ttl_days: float | None = None) -> DataFrame:
+def detect_in_stream(
+    alerts: DataFrame,
+    *,
+    expire_days: float | None = None,
+    late: str = "0 seconds",
+    prior_state: DataFrame | None = None,
+) -> DataFrame:
     """Streaming counterpart of ``detect_reassociations`` for deduplicated alerts.
 
     Within a micro-batch rows count as arrived in (mjd, alert_id) order; across batches a
-    row is compared with the latest seen before it. ``ttl_days`` (the usual value is 90) drops
-    idle sources by processing time; it is for queries that run on, as Spark keeps starting
-    batches for such state and an available-now query would never end.
+    row is compared with the latest seen before it. ``prior_state`` (one row per source, as
+    ``source_state`` makes it) is where a new query begins; a query that goes on has its own.
+
+    ``expire_days`` (the usual value is 90): a source counts as new again if its last row is
+    longer ago, by ``mjd``. Its state goes when the watermark, ``late`` behind the newest ``mjd``,
+    has passed that time; rows older than the watermark are not taken.
     """
-    conf = alerts.sparkSession.conf
-    if conf.get(PROVIDER, None) != ROCKSDB:
-        conf.set(PROVIDER, ROCKSDB)
+    if alerts.sparkSession.conf.get(PROVIDER, None) != ROCKSDB:
+        raise ValueError(f"set {PROVIDER} to {ROCKSDB}: state with timers needs it")
     plain = alerts.drop("is_reassociation", "reassociation_reason", "is_new_source")
-    output = T.StructType([*plain.schema.fields, *_FLAGS.fields])
-    return plain.groupBy("dia_source_id").transformWithState(
-        statefulProcessor=LastAssociation(ttl_days),
-        outputStructType=output,
+    timed = plain
+    if expire_days is not None:
+        at = F.timestamp_micros(((F.col("mjd") - _EPOCH_MJD) * (_DAY_MS * 1000)).cast("long"))
+        timed = plain.withColumn(_AT, at).withWatermark(_AT, late)
+    return timed.groupBy("dia_source_id").transformWithStateInPandas(
+        statefulProcessor=LastAssociation(plain.columns, expire_days),
+        outputStructType=T.StructType([*plain.schema.fields, *_FLAGS.fields]),
         outputMode="Append",
-        timeMode="ProcessingTime" if ttl_days is not None else "None",
+        timeMode="EventTime" if expire_days is not None else "None",
+        initialState=None if prior_state is None else prior_state.groupBy("dia_source_id"),
     )
