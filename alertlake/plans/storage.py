@@ -30,9 +30,11 @@ TABLES: dict[str, T.StructType] = {
             T.StructField("dia_source_id", T.LongType()),
             T.StructField("filter_config", T.StringType()),
             T.StructField("filtered_at", T.TimestampType()),
+            _RUN,
             T.StructField("filter_config_hash", T.StringType()),
         ]
     ),
+    "materialized": T.StructType([T.StructField("filter_config_hash", T.StringType()), _RUN]),
     "layout": T.StructType([T.StructField("partition_days", T.IntegerType())]),
     "runs": SC.RUN_EVENT_SCHEMA,
     "processor_runs": SC.PROCESSOR_RUN_SCHEMA,
@@ -167,8 +169,11 @@ class Lake:
 
     def append_row(self, spark: SparkSession, table: str, row: dict) -> None:
         """One log row; logs are small and read as latest-per-key."""
+        self.append_rows(spark, table, [row])
+
+    def append_rows(self, spark: SparkSession, table: str, rows: list[dict]) -> None:
         kind = TABLES[table]
-        values = [tuple(row.get(n) for n in kind.fieldNames())]
+        values = [tuple(row.get(n) for n in kind.fieldNames()) for row in rows]
         spark.createDataFrame(values, kind).coalesce(1).write.mode("append").parquet(
             self.path(table)
         )

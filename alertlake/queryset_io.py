@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pandas as pd
@@ -577,6 +578,46 @@ add(
 )
 
 
+# Ten saved filters with the SQL of their rules.
+_TEN = [(P.high_snr(x), f"snr >= {x}") for x in (20.0, 40.0, 60.0, 80.0)] + [
+    (P.minimoon_candidates(), MOON),
+    (P.point_sources(), "extendedness_median < 0.3"),
+    (P.extended_sources(), "extendedness_median > 0.7"),
+    (P.sso_alerts(), "has_ss_source"),
+    (P.by_filter_band("g"), "filter_name = 'g'"),
+    (P.by_filter_band("r"), "filter_name = 'r'"),
+]
+
+
+def _materialized_catalog(t: Tables) -> DataFrame:
+    """Ten saved filters over two runs, the second seen later; a repeated call adds nothing."""
+    lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH)
+    catalog = CT.FilterCatalog(t.spark, lake)
+    for k, (config, _) in enumerate(_TEN):
+        catalog.save(replace(config, name=f"filter_{k}"))
+    alerts = _as_alerts(t.alerts)
+    I.ingest(alerts.where(F.col("mjd") < 51000), lake, run_id="first")
+    CT.materialize_catalog(t.spark, lake)
+    I.ingest(alerts, lake, run_id="second")
+    CT.materialize_catalog(t.spark, lake)
+    assert not any(CT.materialize_catalog(t.spark, lake).values())
+    stored = lake.read(t.spark, "filtered")
+    return stored.select("alert_id", "dia_source_id", F.get_json_object("filter_config", "$.name").alias("name"))
+
+
+add(
+    "materialize_catalog",
+    _materialized_catalog,
+    with_ctes(
+        "alerts",
+        " UNION ALL ".join(
+            f"SELECT alert_id, dia_source_id, 'filter_{k}' AS name FROM alerts WHERE {test}"
+            for k, (_, test) in enumerate(_TEN)
+        ),
+    ),
+)
+
+
 def _dry_run(t: Tables) -> DataFrame:
     lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH)
     alerts = _as_alerts(t.fx)
