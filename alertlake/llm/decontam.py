@@ -38,7 +38,7 @@ HIT = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
         T.StructField("n_hit", T.LongType()),
-        T.StructField("items", T.ArrayType(T.LongType())),
+        T.StructField("items", T.ArrayType(T.StringType())),
         T.StructField(
             "spans",
             T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])),
@@ -64,9 +64,9 @@ def _symbol(i: int) -> str:
 class Automaton:
     """Aho-Corasick automaton over the windows of benchmark items."""
 
-    def __init__(self, items: Iterable[tuple[int, bytes | None]], window: int = WINDOW) -> None:
+    def __init__(self, items: Iterable[tuple[str | None, bytes | None]], window: int = WINDOW) -> None:
         self.symbols: dict[bytes, str] = {}
-        owners: dict[str, set[int]] = {}
+        owners: dict[str, set[str | None]] = {}
         for item_id, raw in items:
             words = words_of(raw)
             text = "".join(self.symbols.setdefault(w, _symbol(len(self.symbols))) for w in words)
@@ -74,12 +74,12 @@ class Automaton:
                 owners.setdefault(text[at : at + window], set()).add(item_id)
         self.automaton = ahocorasick.Automaton()
         for key, ids in owners.items():
-            self.automaton.add_word(key, (len(key), tuple(ids)))
+            self.automaton.add_word(key, (len(key), tuple(i for i in ids if i is not None)))
         self.empty = not owners
         if owners:
             self.automaton.make_automaton()
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Word ranges inside any occurrence (first and last word, unmerged) and the items."""
         if self.empty or not words:
             return [], set()
@@ -115,10 +115,10 @@ def _offsets(raw: bytes, ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterable[list[tuple[int, bytes | None]]]:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterable[list[tuple[str | None, bytes | None]]]:
     items = benchmark.select(
-        F.col(item_col).cast("long").alias("item"), F.col(text_col).cast("binary").alias("raw")
-    ).where("item is not null")
+        F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("raw")
+    )
     total = items.agg(F.coalesce(F.sum(F.octet_length("raw")), F.lit(0))).first()[0]
     count = -(-total // BLOCK_BYTES) or 1
     for k in range(count):
@@ -138,10 +138,10 @@ def with_hits(
     """``docs`` with a struct column of what the automaton found, and that column's name.
 
     The struct holds ``n_words``, ``n_hit`` (words inside any occurrence of a window), ``items``
-    (ids with an occurring window, ascending), ``spans`` (code points in the original text, end
+    (ids with an occurring window, as sorted strings), ``spans`` (code points in the original text, end
     exclusive) and ``words`` (the same as first and last word). Null and empty texts have no words
-    and no hits; items without words or with a null id match nothing; an item in several rows
-    counts once; repeated rows of ``docs`` stay. If ``docs`` has a column ``name``, underscores
+    and no hits; items without words match nothing; the windows of an item with a null id hit words
+    like others, and only ``items`` leaves it out; an item in several rows counts once; repeated rows of ``docs`` stay. If ``docs`` has a column ``name``, underscores
     are put in front.
     """
     spark = docs.sparkSession
@@ -189,7 +189,7 @@ def is_contaminated(n_words, n_hit):
 
 def items_digest(items):
     """SHA-256 of the ids, sorted as strings and joined by commas."""
-    return F.sha2(F.concat_ws(",", F.sort_array(items.cast("array<string>"))), 256)
+    return F.sha2(F.concat_ws(",", F.sort_array(items)), 256)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -227,5 +227,6 @@ def brute_force(doc: str | None, items: list[tuple[int, str | None]], window: in
                 if words[j : j + n] == mine[i : i + n]:
                     hit.update(range(j, j + n))
                     found.add(item_id)
+    found.discard(None)
     digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
     return len(words), len(hit), len(found), digest

@@ -19,7 +19,7 @@ places AS (
 found AS (SELECT p.doc_id, p.n, p.i, x.item_id FROM places p JOIN windows x ON p.n = x.n AND p.t = x.t),
 hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit
   FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS j FROM found) GROUP BY doc_id),
-named AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+named AS (SELECT doc_id, count(s) AS n_items, string_agg(s, ',' ORDER BY s) AS s
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM found) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,

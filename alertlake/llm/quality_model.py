@@ -166,8 +166,8 @@ def _logit(p: float) -> float:
     return log(p / (1 - p))
 
 
-def training_rows(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", target: str = "quality") -> DataFrame:
-    """(statistics, label) of the labelled rows that are not held out.
+def training_labels(labels: DataFrame, id_col: str = "doc_id", target: str = "quality") -> DataFrame:
+    """(labelled, label) of the ids that are not held out, MAX_TRAINING_ROWS at most in the mean.
 
     Null labels and ids are left out; of several labels of one id the largest counts.
     """
@@ -179,18 +179,19 @@ def training_rows(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     n = known.count()
     if n > MAX_TRAINING_ROWS:
         known = known.where(F.pmod(F.xxhash64("labelled"), F.lit(1_000_000)) < int(1e6 * MAX_TRAINING_ROWS / n))
-    return measured.join(known, F.col("id") == F.col("labelled")).select("statistics", "label")
+    return known
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, statistics) of the rows of ``docs``, stored: texts are read once for training and scores."""
+    """(id, statistics) of the rows of ``docs``, stored."""
     kept = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     made, name = with_statistics(kept)
     return stored(made.select("id", F.col(name).alias("statistics")), "statistics")
 
 
-def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> RuleModel:
-    training = training_rows(rows, labels, id_col).persist()
+def train(rows: DataFrame, known: DataFrame) -> RuleModel:
+    """``rows`` as ``measured`` gives them, ``known`` as ``training_labels`` does."""
+    training = rows.join(known, F.col("id") == F.col("labelled")).select("statistics", "label").persist()
     try:
         return fit(training)
     finally:
@@ -198,8 +199,14 @@ def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> RuleMod
 
 
 def keep_predicted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``cut``; columns as given, null texts as empty ones."""
-    model = train(measured(docs), labels)
+    """The rows of ``docs`` whose score reaches ``cut``; columns as given, null texts as empty ones.
+
+    Only the rows to train on are measured first: their ids, a bounded number, go to the texts.
+    """
+    known = training_labels(labels)
+    wanted = F.broadcast(known.select(F.col("labelled").alias("wanted")))
+    labelled = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
+    model = train(measured(labelled), known)
     made, name = with_statistics(docs)
     return made.where(model.score(name) >= cut).drop(name)
 
@@ -207,7 +214,7 @@ def keep_predicted(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> Data
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: fold, score and prediction; empty texts are scored like others."""
     rows = measured(docs)
-    model = train(rows, labels)
+    model = train(rows, training_labels(labels))
     made = rows.select("id", model.score("statistics").alias("score"))
     return made.select(
         F.col("id").alias("doc_id"),

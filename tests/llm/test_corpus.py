@@ -2,11 +2,13 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from alertlake.llm import line_dedup, ngram_lm, quality_model, simhash, warc
 from tests.llm.conftest import cases, prose
@@ -217,6 +219,63 @@ def test_quality_model_on_labelled_documents(spark):
     assert "Python" not in made.select(name)._jdf.queryExecution().executedPlan().toString()
 
 
+def _plain_statistics(text):
+    """The statistics of a text in plain Python."""
+    space = " \t\n\x0b\x0c\r"
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if x.strip(space)]
+    n, chars = max(len(words), 1), sum(map(len, words))
+    count = lambda pattern: len(re.findall(pattern, text))
+    known = {*quality_model.STOP_WORDS, *(w.capitalize() for w in quality_model.STOP_WORDS)}
+    return {
+        "log_words": math.log1p(len(words)),
+        "mean_word": chars / n,
+        "symbol_share": count(r"[#*$%&|<>@^~{}\[\]\\_=+]") / n,
+        "upper_share": count("[A-ZÀ-ÖØ-Þ]") / max(chars, 1),
+        "digit_share": count("[0-9]") / max(chars, 1),
+        "mark_share": count("[!?]") / n,
+        "distinct_share": len(set(words)) / n,
+        "neighbour_share": sum(a == b for a, b in zip(words, words[1:])) / n,
+        "stop_share": sum(w in known for w in words) / n,
+        "line_words": len(words) / max(len(lines), 1),
+        "duplicate_lines": (len(lines) - len(set(lines))) / max(len(lines), 1),
+    }
+
+
+def test_quality_rules_equal_plain_evaluation(spark, docs):
+    """Every statistic, rule and score of every row, with columns named as the operator's own."""
+    labelled = [(i, k % 2) for k, (i, t) in enumerate(cases()) if i is not None and t is not None]
+    labels = spark.createDataFrame(labelled, "doc_id long, quality int")
+    named = docs.withColumns(
+        {x: F.lit("own") for x in ("statistics", "text_parts", "label", "labelled", "wanted", "features", "score")}
+    )
+    made, name = quality_model.with_statistics(named)
+    assert name == "_statistics" and made.columns == [*named.columns, name]
+    known = quality_model.training_labels(labels)
+    model = quality_model.train(quality_model.measured(named), known)
+    assert model.weights
+    rows = made.select("doc_id", "text", name, model.score(name).alias("found")).collect()
+    texts = dict(cases())
+    scores = {}
+    for x in rows:
+        plain = _plain_statistics(texts[x.doc_id])
+        assert x[name].asDict() == pytest.approx(plain, rel=1e-12)
+        total = model.intercept
+        for rule, weight in model.weights:
+            held = all(plain[c.statistic] > c.limit if c.above else plain[c.statistic] <= c.limit for c in rule)
+            total += weight * held
+        scores[x.doc_id] = 1 / (1 + math.exp(-total))
+        assert x.found == pytest.approx(scores[x.doc_id], rel=1e-9)
+    reported = quality_model.report(named, labels).collect()
+    assert len(reported) == len(rows)
+    assert all(r.score == pytest.approx(scores[r.doc_id], rel=1e-9) for r in reported)
+    kept = quality_model.keep_predicted(named, labels)
+    assert kept.columns == named.columns
+    want = sorted(str(i) for i, _ in cases() if scores[i] >= quality_model.CUT)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == want
+
+
 def test_quality_model_without_labels(spark, docs, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in quality_model.report(docs, labels).collect()} == {0.5}

@@ -42,6 +42,15 @@ def test_decontamination_equals_brute_force(spark, docs, no_docs):
     assert kept.count() == sum(not r.contaminated for r in got.collect())
 
 
+def test_decontamination_with_text_ids_and_null_ids(spark, docs):
+    items = [("b", prose(99, 60)), ("a", prose(99, 60)), (None, prose(9, 30)), (None, "one"), ("10", None), ("x", "Two words")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = sorted(((i, *decontam.brute_force(t, items)) for i, t in cases()), key=str)
+    assert _by_place(decontam.report(docs, bench), "doc_id", "n_words", "n_hit", "n_items", "items_sha256") == want
+    row = decontam.report(docs, bench).where("doc_id = 7").first()
+    assert (row.n_hit, row.n_items, row.contaminated) == (1, 0, True)
+
+
 def test_decontamination_in_blocks_and_spans(spark, docs, monkeypatch):
     bench = spark.createDataFrame([(i, prose(99, 60) if i == 3 else prose(100 + i, 40)) for i in range(8)], "item_id long, text string")
     whole = _by_place(decontam.report(docs, bench), "doc_id", "n_hit", "items_sha256")
