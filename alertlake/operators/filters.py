@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alertlake.functions import sky
 from alertlake.schema import ALERT_KEY
 
 
@@ -145,7 +146,9 @@ class FilterConfig:
     def apply(self, alerts: DataFrame, *, ordered: bool = True) -> DataFrame:
         """Matching rows. Order plus limit becomes a distributed top-k, not a full sort."""
         out = alerts.where(self.column(alerts.schema)) if self.conditions else alerts
-        out = _bound_days(out, *self._mjd_range())
+        out = _bound_days(out, *self._range("mjd"))
+        if sky.CELL in out.columns:
+            out = _bound_cells(out, self._range("ra"), self._range("dec"))
         if self.order_by and (ordered or self.limit):
             lead = F.col(self.order_by)
             # The key breaks ties: results repeat, and equal values can be split
@@ -154,14 +157,14 @@ class FilterConfig:
             out = out.orderBy(lead.desc() if self.order_desc else lead.asc(), *ties)
         return out.limit(self.limit) if self.limit else out
 
-    def _mjd_range(self) -> tuple[float | None, float | None]:
-        """What rules that all have to hold leave of mjd."""
+    def _range(self, name: str) -> tuple[float | None, float | None]:
+        """What rules that all have to hold leave of a column."""
         lows: list[float] = []
         highs: list[float] = []
         joined = self.combine_with.upper() == "AND" or len(self.conditions) == 1
         for rule in self.conditions if joined else ():
             value, upper = rule.value, rule.value2
-            if rule.field == "mjd" and isinstance(value, (int, float)):
+            if rule.field == name and isinstance(value, (int, float)):
                 if rule.operator in (">", ">=", "=", "BETWEEN"):
                     lows.append(value)
                 if rule.operator in ("<", "<=", "="):
@@ -259,6 +262,15 @@ def day_width(alerts: DataFrame) -> int | None:
     return (alerts.schema[DAY].metadata or {}).get(DAY_WIDTH)
 
 
+def _bound_cells(alerts: DataFrame, ra: tuple, dec: tuple) -> DataFrame:
+    """Skip the sky cells outside of the ranges; open sides reach to the end of the sky."""
+    if (*ra, *dec) == (None,) * 4:
+        return alerts
+    either = lambda x, y: y if x is None else x
+    box = (either(ra[0], 0.0), either(ra[1], 360.0), either(dec[0], -90.0), either(dec[1], 90.0))
+    return alerts.where(sky.in_cells(sky.cells_of_box(*box)))
+
+
 def _bound_days(alerts: DataFrame, start: float | None, end: float | None) -> DataFrame:
     """The partitions that can hold mjd from ``start`` to ``end``. Catalyst cannot derive this from
     a predicate on ``mjd``. Tables whose partition width is not known are left as they are."""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake.functions import exprs as X
+from alertlake.functions import sky
 from alertlake.operators import filters as f
 from alertlake.operators import presets as P
 
@@ -91,7 +92,10 @@ def in_region(
         ra = (F.col("ra") >= ra_min) | (F.col("ra") <= ra_max)
     else:
         ra = F.col("ra").between(ra_min, ra_max)
-    return _by_mjd(alerts.where(ra & F.col("dec").between(dec_min, dec_max)), desc=True)
+    inside = ra & F.col("dec").between(dec_min, dec_max)
+    if sky.CELL in alerts.columns:  # a stored table is sorted by cell: most of it is skipped
+        inside &= sky.in_cells(sky.cells_of_box(ra_min, ra_max, dec_min, dec_max, wrap))
+    return _by_mjd(alerts.where(inside), desc=True)
 
 
 def in_time_window(alerts: DataFrame, start_mjd: float, end_mjd: float) -> DataFrame:

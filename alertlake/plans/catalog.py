@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from alertlake.operators.dedupe import latest_per_key
 from alertlake.operators.filters import FilterConfig
+from alertlake.plans import compaction
 from alertlake.plans.storage import TABLES, Lake, count_rows, drop_directory, subdirectories
 from alertlake.schema import ALERT_KEY
 from alertlake.session import scratch_path
@@ -102,9 +103,8 @@ def catalog_matches(
     that it passes. ``runs`` names for each filter hash the ingest runs to look at.
     """
     wanted = sorted(set().union(*runs.values()))
-    paths = [lake.run_path("alerts", r) for r in wanted]
     kind = TABLES["alerts"]
-    rows = spark.read.schema(kind).option("basePath", lake.path("alerts")).parquet(*paths)
+    rows = lake.read(spark, "alerts").where(F.col("run_id").isin(wanted))
     marks = []
     for config in configs:
         mark = config.config_hash()
@@ -127,7 +127,7 @@ def materialize_catalog(spark: SparkSession, lake: Lake) -> dict[str, int]:
     limited = [c.name for c in configs if c.limit]
     if limited:
         raise ValueError(f"filters with a limit cannot be kept run by run: {', '.join(limited)}")
-    stored = [x.rsplit("run_id=", 1)[1] for x in subdirectories(spark, lake.path("alerts"))]
+    stored = compaction.stored_runs(spark, lake)
     seen = {tuple(r) for r in lake.read(spark, "materialized").collect()}
     runs = {c.config_hash(): {r for r in stored if (c.config_hash(), r) not in seen} for c in configs}
     pairs = sorted((mark, run) for mark, own in runs.items() for run in own)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from alertlake.operators import dedupe, reassoc, sets, skew, validate
-from alertlake.plans import storage
+from alertlake.plans import compaction, storage
 from alertlake.plans.storage import TABLES, Lake
 from alertlake.plans.store import Store, hash_of
 from alertlake.schema import ALERT_COLUMNS, ALERT_KEY, RUN_EVENT_SCHEMA
@@ -48,6 +48,12 @@ def rebuild_state(spark: SparkSession, lake: Lake) -> None:
     Store.rebuild(spark, lake)
 
 
+def compact(spark: SparkSession, lake: Lake) -> int:
+    """Compact the alerts of finished runs; how many runs these were."""
+    store = Store.read(spark, lake)
+    return compaction.compact(spark, lake, store.manifest.pending if store else ())
+
+
 def prepare(alerts: DataFrame) -> DataFrame:
     """Flat alerts in the fixed column order, normalised."""
     return validate.normalize_alerts(alerts.select(*ALERT_COLUMNS))
@@ -151,6 +157,7 @@ def _run(
     # 2. Rows not stored by another run, flagged against the stored state of their source. Of
     # both, only the buckets that the batch falls in are read.
     store = Store.begin(spark, lake, run_id)
+    compaction.forget_run(spark, lake, run_id)
     keys = ("alert_id",) if skip_duplicates else ALERT_KEY
     known = store.keys(key_hashes)
     fresh = sets.not_stored(dedupe.dedupe_alerts(valid), known, keys=keys, small_batch=small)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from alertlake import schema as SC
 from alertlake.functions import exprs as X
+from alertlake.functions import sky
 from alertlake.operators.filters import with_day_width
 
 _RUN = T.StructField("run_id", T.StringType())
@@ -20,6 +21,7 @@ TABLES: dict[str, T.StructType] = {
         [
             *SC.ALERT_SCHEMA.fields,
             T.StructField("is_new_source", T.BooleanType()),
+            T.StructField(sky.CELL, T.IntegerType()),
             _RUN,
             T.StructField("mjd_day", T.IntegerType()),
         ]
@@ -150,8 +152,24 @@ class Lake:
         """The table, empty if nothing was written yet."""
         if not exists(spark, self.path(table)):
             return spark.createDataFrame([], TABLES[table])
-        rows = spark.read.schema(TABLES[table]).parquet(self.path(table))
-        width = self.day_width(spark) if table == "alerts" else None
+        if table == "alerts":
+            return self._alerts(spark)
+        return spark.read.schema(TABLES[table]).parquet(self.path(table))
+
+    def _alerts(self, spark: SparkSession) -> DataFrame:
+        """Folders of runs, and of compactions in place of the runs that they hold."""
+        from alertlake.plans import compaction
+
+        found, kind = compaction.manifest(spark, self), TABLES["alerts"]
+        if found.folders:
+            paths = [self.run_path("alerts", r) for r in compaction.live_runs(spark, self)]
+            rows = compaction.read_compacted(spark, self, found)
+            if paths:
+                runs = spark.read.schema(kind).option("basePath", self.path("alerts")).parquet(*paths)
+                rows = rows.select(*kind.fieldNames()).union(runs.select(*kind.fieldNames()))
+        else:
+            rows = spark.read.schema(kind).parquet(self.path("alerts"))
+        width = self.day_width(spark)
         return rows if width is None else with_day_width(rows, width)
 
     def day_width(self, spark: SparkSession) -> int | None:
@@ -184,24 +202,19 @@ def write_by_day(
 ) -> None:
     """Write partitioned by ``mjd_day``. The rebalance lets AQE split a crowded day over
     tasks and join sparse days in one, so neither giant nor tiny files come out; rows are
-    sorted by source inside the files, which makes their min/max statistics selective."""
+    sorted by sky cell inside the files, and by source inside a cell, which makes their min/max
+    statistics selective."""
+    cell = sky.sky_cell(F.col("ra"), F.col("dec"))
     (
-        alerts.withColumn("mjd_day", X.mjd_day("mjd", partition_days))
+        alerts.withColumns({"mjd_day": X.mjd_day("mjd", partition_days), sky.CELL: cell})
         .hint("rebalance", "mjd_day")
-        .sortWithinPartitions("mjd_day", "dia_source_id", "mjd")
+        .sortWithinPartitions("mjd_day", sky.CELL, "dia_source_id", "mjd")
         .write.mode(mode)
         .partitionBy("mjd_day")
         .parquet(path)
     )
 
 
-def compact_alerts(spark: SparkSession, lake: Lake, target: str) -> DataFrame:
-    """Rewrite the alert table of many runs into one folder of day partitions."""
-    rows = lake.read(spark, "alerts").drop("mjd_day")
-    write_by_day(rows, target, partition_days=lake.partition_days)
-    return read_by_day(spark, target, lake.partition_days)
-
-
 def read_by_day(spark: SparkSession, path: str, partition_days: int) -> DataFrame:
     """A table of ``write_by_day`` with its width noted, so that windows skip partitions."""
     return with_day_width(spark.read.parquet(path), partition_days)

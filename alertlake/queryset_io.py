@@ -552,17 +552,53 @@ add(
 )
 
 
-def _many_batches(t: Tables) -> SG.Lake:
+def _many_batches(t: Tables, compact_after: tuple[int, ...] = ()) -> SG.Lake:
     """Twelve batches in order of time, every other one shuffled against the store, the last one
     twice. Buckets and merges are small, so that keys and states pass through both."""
     lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH, bucket_rows=4000, merge_at=3)
-    alerts = _as_alerts(t.fx)
+    alerts = _as_alerts(t.alerts if compact_after else t.fx)
     step = F.least(F.greatest(F.floor((F.col("mjd") - 48600) / 220), F.lit(0)), F.lit(11))
     for k in (*range(12), 11):
         I.ingest(alerts.where(step == k), lake, run_id=f"batch-{k}", broadcast_rows=10**6 * (k % 2))
+        if k in compact_after:
+            I.compact(t.spark, lake)
     return lake
 
 
+def _compacted(t: Tables) -> DataFrame:
+    """Twelve batches, compacted after the fourth, the eighth and both times of the last one."""
+    return _many_batches(t, (3, 7, 11)).read(t.spark, "alerts")
+
+
+add(
+    "compacted_alerts",
+    lambda t: _compacted(t).select("alert_id", "dia_source_id", "mjd", "snr", "run_id"),
+    with_ctes(
+        "alerts",
+        """SELECT alert_id, dia_source_id, mjd, snr, 'batch-' || CAST(least(greatest(floor((mjd - 48600) / 220),
+        0), 11) AS INTEGER) AS run_id FROM alerts""",
+    ),
+)
+def _two_runs_compacted(t: Tables) -> DataFrame:
+    lake = SG.Lake(scratch_path(t.spark, "lake"), WIDTH)
+    alerts = _as_alerts(t.alerts)
+    I.ingest(alerts.where(F.col("mjd") < 51000), lake, run_id="first")
+    I.ingest(alerts, lake, run_id="second")
+    I.compact(t.spark, lake)
+    return lake.read(t.spark, "alerts")
+
+
+add(
+    "in_region_compacted",
+    lambda t: VW.in_region(_two_runs_compacted(t), 330.0, 30.0, -10.0, 45.0, wrap=True).select("alert_id", "ra", "dec", "sky_cell"),
+    with_ctes(
+        "alerts",
+        """SELECT alert_id, ra, dec, CAST(least(floor((dec + 90) / 5), 35) * 72 + floor(ra / 5) AS INTEGER)
+        AS sky_cell FROM alerts WHERE (ra >= 330 OR ra <= 30) AND dec BETWEEN -10 AND 45""",
+    ),
+)
+
+
 add(
     "ingest_many_batches",
     lambda t: I.current_state(t.spark, _many_batches(t)).select(
