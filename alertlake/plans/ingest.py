@@ -22,6 +22,7 @@ from alertlake.plans.storage import TABLES, Lake
 from alertlake.plans.store import Store, hash_of
 from alertlake.schema import ALERT_COLUMNS, ALERT_KEY, RUN_EVENT_SCHEMA
 from alertlake.session import scratch_path
+from alertlake.sources import files
 
 # Batches up to this many rows have their keys broadcast (two numbers each: ~16 MB).
 SMALL_BATCH_ROWS = 1_000_000
@@ -202,6 +203,15 @@ def _flag(fresh: DataFrame, prior: DataFrame, probe: DataFrame, small: bool) ->
     )
 
 
+def ingest_json(spark: SparkSession, paths: str | list[str], lake: Lake, *, run_id: str, **options) -> Row:
+    """Ingest JSON lines; lines that are no packets are kept under ``rejects`` and count as failed."""
+    good, bad = files.read_json_with_rejects(spark, paths)
+    target = lake.run_path("rejects", run_id)
+    bad.write.mode("overwrite").parquet(target)
+    kept = spark.read.schema(bad.schema).parquet(target)
+    return ingest(good, lake, run_id=run_id, undecoded=storage.count_rows(kept), **options)
+
+
 def latest_runs(spark: SparkSession, lake: Lake) -> DataFrame:
     """One row per run: its newest event."""
     return dedupe.latest_per_key(lake.read(spark, "runs"), ["run_id"], ["event_at"])

@@ -104,6 +104,37 @@ def monthly_report(
     return months.join(objects, ["year", "month"])
 
 
+#: Size of a sketch: 2**LOG_K registers, whose estimates are off by 1.04 / sqrt(2**LOG_K), about 0.8 %.
+LOG_K = 14
+SKETCH_ERROR = 1.04 / 2 ** (LOG_K / 2)
+
+
+def daily_sketches(alerts: DataFrame, date: Column | None = None) -> DataFrame:
+    """Per date a count and mergeable sketches of its objects and sources, some kilobytes each.
+
+    Kept per day, they give distinct counts over any range of days without reading the alerts again;
+    an object that is seen on many days counts once.
+    """
+    return alerts.groupBy((observing_date() if date is None else date).alias("date")).agg(
+        F.count(F.lit(1)).alias("total_alerts"),
+        F.hll_sketch_agg("dia_object_id", F.lit(LOG_K)).alias("objects"),
+        F.hll_sketch_agg("dia_source_id", F.lit(LOG_K)).alias("sources"),
+    )
+
+
+def distinct_over(days: DataFrame, *by: Column) -> DataFrame:
+    """(by, total_alerts, unique_objects, unique_sources) over rows of ``daily_sketches``: estimates."""
+    return days.groupBy(*by).agg(
+        F.sum("total_alerts").alias("total_alerts"),
+        F.hll_sketch_estimate(F.hll_union_agg("objects")).alias("unique_objects"),
+        F.hll_sketch_estimate(F.hll_union_agg("sources")).alias("unique_sources"),
+    )
+
+
+def monthly_from_sketches(days: DataFrame) -> DataFrame:
+    return distinct_over(days, F.year("date").alias("year"), F.month("date").alias("month"))
+
+
 def sky_area(alerts: DataFrame) -> DataFrame:
     """Area estimate of the whole table, one row."""
     ranges = alerts.agg(

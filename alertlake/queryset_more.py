@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,12 +17,14 @@ from alertlake.operators import views as VW
 from alertlake.plans import export as E
 from alertlake.plans import ingest as I
 from alertlake.plans import processors as PR
+from alertlake.plans import reports as RP
 from alertlake.plans import storage as SG
-from alertlake.queryset import AS_OF_TIME, MOON, ROW, ROW_SQL, add
+from alertlake.queryset import AS_OF_TIME, MOON, ROW, ROW_SQL, add, r6
 from alertlake.queryset_io import _FLAG_SQL, _KINDS_SQL, _TRAIL_SQL, _as_alerts, _flat, _framed, _to_parquet
 from alertlake.session import scratch_path
 from alertlake.sources import files as FS
 from alertlake.sources import packets as PK
+from alertlake.sources import registry
 from alertlake.streaming import ingest as SI
 
 WIDTHS = (60, 200)
@@ -77,7 +80,7 @@ def _as_files(t: Tables, rows: DataFrame, order: str, label: str) -> str:
         part = rows
         part = part.where(F.col(order) <= high) if high is not None else part
         part = part.where(F.col(order) > low) if low is not None else part
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.write.mode("append").parquet(path)
     return path
 
 
@@ -253,7 +256,7 @@ def _message_ingest(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "messages")
     messages = _framed(t)
     for part in (0, 1):
-        messages.where(F.pmod(F.crc32("value"), F.lit(2)) == part).coalesce(1).write.mode("append").parquet(path)
+        messages.where(F.pmod(F.crc32("value"), F.lit(2)) == part).write.mode("append").parquet(path)
     stream = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(path)
     lake = SG.Lake(scratch_path(t.spark, "message-lake"), 400)
     SI.run_bounded(SI.start_message_ingest(stream, lake, scratch_path(t.spark, "message-offsets")))
@@ -290,3 +293,175 @@ add(
           nth = 1 AS is_new_source FROM p""",
     ),
 )
+
+
+# --- stored days, damaged files, files by date, readers by name, streams that go on ------------
+
+
+def _sketched(t: Tables) -> DataFrame:
+    """Months from the stored days alone, beside exact counts: whether each is within four standard errors."""
+    days = scratch_path(t.spark, "days")
+    RP.daily_sketches(t.alerts).write.parquet(days)
+    months = RP.monthly_from_sketches(t.spark.read.parquet(days))
+    exact = t.alerts.groupBy(F.year(RP.observing_date()).alias("year"), F.month(RP.observing_date()).alias("month")).agg(
+        F.count_distinct("dia_object_id").alias("exact_objects"), F.count_distinct("dia_source_id").alias("exact_sources")
+    )
+    near = lambda c: F.abs(F.col(f"unique_{c}") - F.col(f"exact_{c}")) <= F.ceil(F.col(f"exact_{c}") * (4 * RP.SKETCH_ERROR))
+    return months.join(exact, ["year", "month"]).select(
+        "year", "month", "total_alerts", "exact_objects", "exact_sources",
+        near("objects").alias("objects_near"), near("sources").alias("sources_near"),
+    )
+
+
+_MJD_DATE = "DATE '1858-11-17' + CAST(floor(mjd) AS INTEGER)"
+add(
+    "monthly_objects_sketch",
+    _sketched,
+    with_ctes(
+        "alerts",
+        f"""SELECT year({_MJD_DATE}) AS year, month({_MJD_DATE}) AS month, count(*) AS total_alerts,
+        count(DISTINCT dia_object_id) AS exact_objects, count(DISTINCT dia_source_id) AS exact_sources,
+        true AS objects_near, true AS sources_near FROM alerts GROUP BY 1, 2""",
+    ),
+)
+
+
+def _damaged_lines(t: Tables) -> str:
+    """Packets as JSON lines in two folders: line 5 is cut short, line 6 has no alert id, blank lines between."""
+    folder = scratch_path(t.spark, "damaged")
+    line = F.col("alertId") % 8
+    text = F.to_json(F.struct("alertId", "diaSource", "ssObject"))
+    bare = F.to_json(F.struct("diaSource", "ssObject"))
+    lines = t.packets.select(
+        F.when(line == 5, F.substring(text, F.lit(1), F.length(text) - 7))
+        .when(line == 6, bare)
+        .when(line == 7, F.concat(text, F.lit("\n")))
+        .otherwise(text)
+        .alias("value")
+    )
+    lines.where(F.length("value") % 2 == 0).write.text(f"{folder}/a")
+    lines.where(F.length("value") % 2 == 1).write.text(f"{folder}/b")
+    return folder
+
+
+def _quarantined(t: Tables) -> DataFrame:
+    folder = _damaged_lines(t)
+    good, bad = FS.read_json_with_rejects(t.spark, [f"{folder}/a", f"{folder}/b"])
+    kept = good.agg(F.lit("alert").alias("what"), F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(bad.groupBy(F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n")))
+
+
+add(
+    "json_quarantine",
+    _quarantined,
+    with_ctes(
+        "fx",
+        """SELECT 'alert' AS what, count(*) FILTER (l_linenumber NOT IN (5, 6)) AS n FROM fx
+        UNION ALL SELECT 'no JSON packet', count(*) FROM fx WHERE l_linenumber = 5
+        UNION ALL SELECT 'no alert id', count(*) FROM fx WHERE l_linenumber = 6""",
+    ),
+)
+
+
+def _damaged_run(t: Tables) -> DataFrame:
+    lake, folder = SG.Lake(scratch_path(t.spark, "lake"), 400), _damaged_lines(t)
+    I.ingest_json(t.spark, [f"{folder}/a", f"{folder}/b"], lake, run_id="damaged")
+    return I.latest_runs(t.spark, lake).select("run_id", "alerts_received", "alerts_failed", "alerts_ingested")
+
+
+add(
+    "ingest_damaged",
+    _damaged_run,
+    with_ctes(
+        "fx",
+        """SELECT 'damaged' AS run_id, count(*) AS alerts_received, count(*) FILTER (l_linenumber IN (5, 6))
+        AS alerts_failed, count(DISTINCT alert_id) FILTER (l_linenumber NOT IN (5, 6)) AS alerts_ingested FROM fx""",
+    ),
+)
+
+
+def _dated_files(t: Tables) -> str:
+    """One CSV file for each month, named after its first day, with the columns' names in files."""
+    folder, back = scratch_path(t.spark, "dated"), {v: k for k, v in FS.CSV_NAMES.items()}
+    given = ("alert_id", "dia_source_id", "dia_object_id", "ra", "dec", "mjd", "filter_name", "ps_flux", "snr", "has_ss_source")
+    month = F.date_format(F.trunc(RP.observing_date(), "month"), "yyyyMMdd")
+    rows = t.alerts.select(month.alias("month"), *(F.col(c).alias(back.get(c, c)) for c in given))
+    # All rows of a month in one file, which is what such files are; months go to tasks by hash.
+    rows.repartition("month").write.partitionBy("month").option("header", True).csv(folder)
+    for k, (path, *_) in enumerate(SG.data_files(t.spark, folder)):
+        day = path.split("month=")[1][:8]
+        fs, old = SG.hadoop_path(t.spark, path)
+        fs.rename(old, SG.hadoop_path(t.spark, f"{path.rsplit('/', 1)[0]}/alerts_{day}.csv")[1])
+    return folder
+
+
+def _dated_report(t: Tables) -> DataFrame:
+    """The daily report of the files of two years."""
+    rows = FS.read_dated_alerts(t.spark, _dated_files(t), date(1994, 1, 1), date(1995, 12, 31))
+    return RP.daily_report(rows).select(
+        F.col("date").cast("string").alias("date"), "total_alerts", "unique_sources", "with_sssource",
+        r6("flux_median").alias("flux_median"), r6("snr_median").alias("snr_median"),
+    )
+
+
+add(
+    "dated_csv_report",
+    _dated_report,
+    with_ctes(
+        "alerts",
+        f"""SELECT CAST(CAST({_MJD_DATE} AS DATE) AS VARCHAR) AS date, count(*) AS total_alerts,
+        count(DISTINCT dia_source_id) AS unique_sources, count(*) FILTER (has_ss_source) AS with_sssource,
+        round(median(ps_flux) + 3.1e-9, 6) AS flux_median, round(median(snr) + 3.1e-9, 6) AS snr_median
+        FROM alerts WHERE year({_MJD_DATE}) IN (1994, 1995) GROUP BY 1""",
+    ),
+)
+
+
+def _by_name(t: Tables) -> DataFrame:
+    """The packets through three registered readers, and a bounded read of each."""
+    folder, parts = scratch_path(t.spark, "by-name"), []
+    t.packets.write.parquet(f"{folder}/parquet")
+    t.packets.write.json(f"{folder}/json")
+    E.export(PK.flatten_packet(t.packets), f"{folder}/csv", "csv")
+    for name in ("parquet", "json", "csv"):
+        rows = registry.read(t.spark, name, f"{folder}/{name}")
+        few = registry.read(t.spark, name, f"{folder}/{name}", limit=100).select(F.lit(None).cast("long").alias("alert_id"))
+        both = rows.select("alert_id").unionByName(few)
+        parts.append(
+            both.agg(F.count("alert_id").alias("n"), F.count_distinct("alert_id").alias("ids"), F.count_if(F.col("alert_id").isNull()).alias("bounded"))
+            .withColumn("source", F.lit(name))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+add(
+    "registered_readers",
+    _by_name,
+    with_ctes(
+        "fx",
+        """SELECT count(*) AS n, count(DISTINCT alert_id) AS ids, 100 AS bounded, source
+        FROM fx, (SELECT unnest(['parquet', 'json', 'csv']) AS source) GROUP BY source""",
+    ),
+)
+
+
+def _resumed(t: Tables) -> DataFrame:
+    """A stream that ends, and goes on from its offsets when more files are there: runs by name."""
+    rows, path = _as_alerts(t.alerts), scratch_path(t.spark, "growing")
+    lake, offsets = SG.Lake(scratch_path(t.spark, "resumed-lake"), 400), scratch_path(t.spark, "resumed")
+    for part in ("mjd < 50000", "mjd >= 50000 AND mjd < 51000", "mjd >= 51000"):
+        rows.where(part).write.mode("append").parquet(path)
+        stream = t.spark.readStream.schema(rows.schema).parquet(path)
+        SI.run_bounded(SI.start_ingest(stream, lake, offsets, name="part"))
+    return I.latest_runs(t.spark, lake).select("run_id", "alerts_received", "alerts_ingested", "status")
+
+
+add(
+    "stream_resume",
+    _resumed,
+    with_ctes(
+        "alerts",
+        """SELECT 'part-' || CASE WHEN mjd < 50000 THEN 0 WHEN mjd < 51000 THEN 1 ELSE 2 END AS run_id,
+        count(*) AS alerts_received, count(*) AS alerts_ingested, 'completed' AS status FROM alerts GROUP BY 1""",
+    ),
+)

@@ -182,6 +182,33 @@ def read_json_alerts(
     return flatten_packet(reader.json(paths))
 
 
+#: Rows that a reader could not take.
+REJECT_COLUMNS = ("path", "reason", "record")
+
+
+def read_json_with_rejects(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType = PACKET_SCHEMA
+) -> tuple[DataFrame, DataFrame]:
+    """(flat alerts, rejects) of JSON lines: a reject holds the file, the reason and the line itself.
+
+    Each line is in one of the two; blank lines are in neither. A packet without its alert id or
+    source is rejected, since no run could store it.
+    """
+    whole = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
+    parsed = lines.where(F.trim("value") != "").withColumn("packet", F.from_json("value", whole, options))
+    reason = (
+        F.when(F.col("packet").isNull() | F.col("packet._broken").isNotNull(), "no JSON packet")
+        .when(F.col("packet.alertId").isNull(), "no alert id")
+        .when(F.col("packet.diaSource.diaSourceId").isNull(), "no source id")
+    )
+    judged = parsed.withColumn("reason", reason)
+    good = judged.where("reason IS NULL").select(*(F.col(f"packet.{f.name}").alias(f.name) for f in schema.fields))
+    bad = judged.where("reason IS NOT NULL").select("path", "reason", F.col("value").alias("record"))
+    return flatten_packet(good), bad
+
+
 def read_parquet_alerts(spark: SparkSession, paths: str | list[str], **options) -> DataFrame:
     """Nested packets stored as Parquet; if already flat, the rows as they are."""
     listed = [paths] if isinstance(paths, str) else list(paths)
