@@ -84,12 +84,10 @@ class RowProcessor(Processor):
 class GroupProcessor(Processor):
     """One record per group. Either Spark aggregates (``columns``), or a Python function.
 
-    Python comes in two forms. ``partial`` and ``combine`` work in two steps, so a hot group
-    never sits in one task: ``partial`` condenses the part of a group found in one Arrow
-    batch to a few rows, ``combine`` makes the record from those. ``per_group`` sees a whole
-    group at once, in one task, however large it is: nothing registered here uses it, and it is
-    kept for functions that cannot be taken apart, over keys bounded by what they are, such as
-    one night of one object.
+    Python works on mergeable state, so that no group is ever in one call: ``partial`` condenses
+    the rows of a group in one Arrow batch to a few rows of state, ``merge`` makes one state of
+    several, and ``combine`` makes the record of the merged states. A group has at most ``SALTS``
+    states to combine, however many rows it has.
     """
 
     group_by = "dia_object_id"
@@ -103,8 +101,8 @@ class GroupProcessor(Processor):
         return None
 
     partial: Callable[[Any, pd.DataFrame], pd.DataFrame] | None = None
+    merge: Callable[[Any, pd.DataFrame], pd.DataFrame] | None = None
     combine: Callable[[Any, pd.DataFrame], dict | None] | None = None
-    per_group: Callable[[Any, pd.DataFrame], dict | None] | None = None
 
     def transform(self, alerts: DataFrame) -> DataFrame:
         key = self.group_by
@@ -114,11 +112,9 @@ class GroupProcessor(Processor):
             out = rows.groupBy(key).agg(*columns)
             test = self.having()
             return out if test is None else out.where(test)
-        if self.combine is not None and self.partial is not None:
-            return self._two_step(rows)
-        if self.per_group is not None:
-            return self._whole_groups(rows)
-        raise NotImplementedError("give columns(), partial and combine, or per_group")
+        if None not in (self.partial, self.merge, self.combine):
+            return self._merged_states(rows)
+        raise NotImplementedError("give columns(), or partial, merge and combine")
 
     def _record(self, make: Callable) -> Callable:
         names = T.StructType.fromDDL(self.result_schema).fieldNames() if isinstance(
@@ -131,26 +127,32 @@ class GroupProcessor(Processor):
 
         return record
 
-    def _two_step(self, rows: DataFrame) -> DataFrame:
-        key, partial = self.group_by, self.partial
+    def _merged_states(self, rows: DataFrame) -> DataFrame:
+        key, partial, merge = self.group_by, self.partial, self.merge
 
         def condense(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            open_key, state = None, None  # the last key seen may go on in the next batch
             for batch in batches:
-                parts = [partial(k, group) for k, group in batch.groupby(key)]
-                if parts:
-                    yield pd.concat(parts, ignore_index=True)
+                done = []
+                for k, group in batch.groupby(key):
+                    found = partial(k, group)
+                    if state is not None and k == open_key:
+                        state = merge(k, pd.concat([state, found], ignore_index=True))
+                        continue
+                    if state is not None:
+                        done.append(state)
+                    open_key, state = k, found
+                if done:
+                    yield pd.concat(done, ignore_index=True)
+            if state is not None:
+                yield state
 
         # Rows of a key come together, a hot key in several places, so that each call of
         # ``partial`` has many rows; batches are streamed, no group is held.
         part = F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("part")
         sorted_rows = rows.repartition(F.col(key), part).sortWithinPartitions(key)
-        parts = sorted_rows.mapInPandas(condense, self.partial_schema)
-        return parts.groupBy(key).applyInPandas(self._record(self.combine), self.result_schema)
-
-    def _whole_groups(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy(self.group_by).applyInPandas(
-            self._record(self.per_group), self.result_schema
-        )
+        states = sorted_rows.mapInPandas(condense, self.partial_schema)
+        return states.groupBy(key).applyInPandas(self._record(self.combine), self.result_schema)
 
 
 # --- registry -----------------------------------------------------------------------------

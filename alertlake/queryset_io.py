@@ -324,6 +324,12 @@ class SnrByObject(PR.GroupProcessor):
             {"dia_object_id": [key], "n": [len(group)], "total": [group["snr"].sum()]}
         )
 
+    @staticmethod
+    def merge(key, parts):
+        return pd.DataFrame(
+            {"dia_object_id": [key], "n": [parts["n"].sum()], "total": [parts["total"].sum()]}
+        )
+
     @staticmethod
     def combine(key, parts):
         n = int(parts["n"].sum())
@@ -356,6 +362,26 @@ add(
         FROM alerts WHERE {_WIN} AND dia_object_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 2""",
     ),
 )
+add(
+    "processor_python_hot_key",
+    lambda t: SnrByObject()
+    .run(
+        t.alerts.select(
+            F.when(F.col("alert_id") % 3 == 0, F.lit(7)).otherwise(F.col("dia_object_id")).alias("dia_object_id"),
+            "mjd",
+            "snr",
+        ),
+        _START,
+        _END,
+    )
+    .withColumn("mean_snr", r6("mean_snr")),
+    with_ctes(
+        "alerts",
+        f"""SELECT dia_object_id, count(*) AS n, round(avg(snr) + 3.1e-9, 6) AS mean_snr FROM (
+        SELECT * REPLACE (CASE WHEN alert_id % 3 = 0 THEN 7 ELSE dia_object_id END AS dia_object_id) FROM alerts)
+        WHERE {_WIN} AND dia_object_id IS NOT NULL GROUP BY 1 HAVING count(*) >= 2""",
+    ),
+)
 add(
     "processor_python_group",
     lambda t: SpanByObject().run(t.alerts.select("dia_object_id", "mjd"), _START, _END),

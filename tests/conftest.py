@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
@@ -19,6 +19,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

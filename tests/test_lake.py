@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,17 +86,46 @@ def test_runner_captures_errors(spark, tmp_path):
         assert processors.unregister("broken")
 
 
-def test_whole_group_processor(spark):
-    class Count(processors.GroupProcessor):
-        name, group_by = "count", "dia_source_id"
-        result_schema = "dia_source_id long, n long"
+def test_states_of_a_hot_key_are_merged(spark):
+    """A Python group function with a key that holds most rows: few states are left to combine."""
+
+    class Span(processors.GroupProcessor):
+        name, group_by = "span", "dia_source_id"
+        partial_schema = "dia_source_id long, n long, low double, high double"
+        result_schema = "dia_source_id long, n long, span double, states long"
+
+        @staticmethod
+        def partial(key, group):
+            return pd.DataFrame([(key, len(group), group["mjd"].min(), group["mjd"].max())], columns=STATE)
+
+        @staticmethod
+        def merge(key, parts):
+            return pd.DataFrame([(key, parts["n"].sum(), parts["low"].min(), parts["high"].max())], columns=STATE)
 
         @staticmethod
-        def per_group(key, group):
-            return {"dia_source_id": key, "n": len(group)}
+        def combine(key, parts):
+            span = parts["high"].max() - parts["low"].min()
+            return {"dia_source_id": key, "n": int(parts["n"].sum()), "span": float(span), "states": len(parts)}
+
+    STATE = ["dia_source_id", "n", "low", "high"]
+    key = F.when(F.col("id") % 4 > 0, 1).otherwise(F.col("id") % 40 + 100)
+    rows = spark.range(0, 40_000, 1, 4).select(key.alias("dia_source_id"), (F.col("id") / 8).alias("mjd"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = {r.dia_source_id: r for r in Span().run(rows, 0.0, 1e6).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert (got[1].n, got[1].span) == (30_000, (39_999 - 1) / 8)
+    assert got[1].states <= 4  # one for each part of the key, not one for each batch
+    assert sum(r.n for r in got.values()) == 40_000 and len(got) == 11
+
+    class Half(processors.GroupProcessor):
+        name, group_by = "half", "dia_source_id"
+        partial = Span.partial
 
-    rows = make_alerts(spark, range(20)).select("dia_source_id", "mjd")
-    assert {r["n"] for r in Count().run(rows, 0.0, 1e6).collect()} == {4}
+    with pytest.raises(NotImplementedError):
+        Half().run(rows, 0.0, 1e6)
 
 
 def test_dated_csv_range(spark, tmp_path):
