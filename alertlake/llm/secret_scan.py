@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from alertlake.llm.common import stored
 from alertlake.session import scratch_path
 
 
@@ -63,6 +64,9 @@ SPAN = T.StructType(
         T.StructField("kind", T.StringType()),
     ]
 )
+#: Unseen hashes (32 bytes each) up to this many are sent to the texts; more are joined by a shuffle.
+BROADCAST_BLOBS = 250_000
+
 LEDGER = T.StructType(
     [
         T.StructField("blob", T.BinaryType()),
@@ -135,18 +139,35 @@ class Ledger:
             return self.spark.createDataFrame([], LEDGER)
         return self.spark.read.schema(LEDGER).parquet(self.path)
 
-    def scan(self, versions: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-        """Scans the unseen blobs of ``versions``, appends them, and returns the rows appended."""
-        version = version_of(rules)
+    def unseen(self, versions: DataFrame, text_col: str, version: str) -> DataFrame | None:
+        """(blob, text) of the blobs of ``versions`` that the ledger lacks, one row each; None if it has all.
+
+        The ledger is asked by hashes alone, before any text moves. Where few enough hashes are
+        unseen to send them to the texts, only texts that have one are shuffled.
+        """
         blobs = versions.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(
             F.unhex(F.sha2("text", 256)).alias("blob"), "text"
         )
-        known = self.rows().where(F.col("rule_version") == version).select("blob")
         # Copies are reduced to one row in each map task before the texts are shuffled.
-        each = blobs.groupBy("blob").agg(F.first("text").alias("text"))
-        unseen = each.join(known, "blob", "left_anti")
-        rows = findings(unseen, rules).select("blob", F.lit(version).alias("rule_version"), "spans")
-        rows.write.mode("append").parquet(self.path)
+        once = lambda texts: texts.groupBy("blob").agg(F.first("text").alias("text"))
+        known = self.rows().where(F.col("rule_version") == version).select("blob")
+        if known.isEmpty():
+            return once(blobs)
+        wanted = stored(blobs.select("blob").distinct().join(known, "blob", "left_anti"), "unseen")
+        n = wanted.count()
+        if not n:
+            return None
+        if n <= BROADCAST_BLOBS:
+            return once(blobs.join(F.broadcast(wanted), "blob", "left_semi"))
+        return once(blobs).join(wanted, "blob", "left_semi")
+
+    def scan(self, versions: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        """Scans the unseen blobs of ``versions``, appends them, and returns the rows of the rule version."""
+        version = version_of(rules)
+        texts = self.unseen(versions, text_col, version)
+        if texts is not None:
+            rows = findings(texts, rules).select("blob", F.lit(version).alias("rule_version"), "spans")
+            rows.write.mode("append").partitionBy("rule_version").parquet(self.path)
         return self.rows().where(F.col("rule_version") == version)
 
     def found_in(self, versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES) -> DataFrame:

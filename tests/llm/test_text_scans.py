@@ -126,6 +126,27 @@ def test_ledger_scans_only_what_it_has_not_seen(spark, tmp_path):
     assert ledger.rows().count() == 6
 
 
+def test_the_ledger_is_asked_before_texts_move(spark, tmp_path, monkeypatch):
+    version = secret_scan.version_of(secret_scan.RULES)
+    ledger = secret_scan.Ledger(spark, str(tmp_path / "ledger"))
+    first = spark.createDataFrame([(k, f"token=abcdef{k % 40}") for k in range(120)], "doc_id long, text string")
+    ledger.scan(first)
+    assert ledger.rows().count() == 40
+    assert ledger.unseen(first, "text", version) is None  # a repeated scan moves hashes only
+    more = first.union(spark.createDataFrame([(k, f"secret=xyzxyz{k % 3}") for k in range(9)], "doc_id long, text string"))
+    few = ledger.unseen(more, "text", version)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")  # the join is below the shuffle
+    monkeypatch.setattr(secret_scan, "BROADCAST_BLOBS", 0)
+    many = ledger.unseen(more, "text", version)
+    texts = lambda df: sorted(r.text for r in df.collect())
+    assert texts(few) == texts(many) == [f"secret=xyzxyz{k}" for k in range(3)]
+    ledger.scan(more)
+    ledger.scan(more)
+    assert ledger.rows().count() == 43
+    assert (tmp_path / "ledger" / f"rule_version={version}").is_dir()
+
+
 def test_token_counts_equal_the_library(docs, no_docs):
     library = Tokenizer.from_file(WORD_BPE)
     count = lambda t: len(library.encode(t or "", add_special_tokens=False).ids)
