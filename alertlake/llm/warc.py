@@ -93,10 +93,18 @@ def http_parts(block: bytes) -> tuple[int | None, list[tuple[str, str]], bytes]:
         if values.get("content-encoding") in ("gzip", "x-gzip"):
             body = gzip.decompress(body)
         elif values.get("content-encoding") == "deflate":
-            body = zlib.decompress(body)
+            body = _inflated(body)
     except (OSError, EOFError, zlib.error):
         pass
-    return int(status) if status.isdigit() else None, headers, body
+    return int(status) if status.isascii() and status.isdigit() else None, headers, body
+
+
+def _inflated(body: bytes) -> bytes:
+    """Deflate with its header, or raw, as some servers send it."""
+    try:
+        return zlib.decompress(body)
+    except zlib.error:
+        return zlib.decompress(body, -15)
 
 
 def _unchunked(body: bytes) -> bytes:
@@ -106,10 +114,10 @@ def _unchunked(body: bytes) -> bytes:
         if not re.fullmatch(rb"[0-9a-fA-F]+", size):
             return body
         if not int(size, 16):
-            break
+            return b"".join(out)
         out.append(body[end + 2 : end + 2 + int(size, 16)])
         at = end + 4 + int(size, 16)
-    return b"".join(out)
+    return body  # cut short
 
 
 def _decoded(body: bytes, content_type: str) -> tuple[str, str]:
@@ -231,29 +239,86 @@ _NAMED = {
 }
 
 
+#: Record type of bytes that are no record; the reason is in their only header.
+UNPARSED = "unparsed"
+_MEMBER, _PADDING = b"\x1f\x8b\x08", b"\0\r\n\t "
+_NEXT = re.compile(rb"(?:^|(?<=\n))WARC/\d")
+
+
+def _unparsed(raw: bytes, reason: str) -> Iterator[dict]:
+    if raw.strip(_PADDING):
+        headers = [{"name": "Reason", "value": reason}]
+        yield dict.fromkeys(RECORD.names) | {"record_type": UNPARSED, "headers": headers, "block": raw}
+
+
 def parsed(raw: bytes) -> Iterator[dict]:
-    """The records of a WARC file, plain or compressed by record; ends at what is no record."""
-    while raw[:2] == b"\x1f\x8b":
+    """The records of a WARC file, plain or compressed by record.
+
+    Padding between records or members is skipped. What is no record, or a broken one, comes out
+    as a row of type UNPARSED with its bytes, and reading goes on at the next record or member.
+    """
+    if raw[:2] != _MEMBER[:2]:
+        yield from _plain_records(raw)
+        return
+    at = 0
+    while at < len(raw):
         member = zlib.decompressobj(31)
-        yield from parsed(member.decompress(raw))
-        raw = member.unused_data
+        try:
+            plain = member.decompress(raw[at:] if at else raw)
+        except zlib.error:
+            end = raw.find(_MEMBER, at + 1)
+            end = len(raw) if end < 0 else end
+            yield from _unparsed(raw[at:end], "no gzip member")
+            at = end
+            continue
+        yield from _plain_records(plain)
+        if not member.eof:
+            yield from _unparsed(raw[at:], "gzip member cut short")
+            return
+        at = len(raw) - len(member.unused_data.lstrip(_PADDING))
+
+
+def _plain_records(raw: bytes) -> Iterator[dict]:
     at = 0
-    while raw.startswith(b"WARC/", at):
-        end = raw.index(b"\r\n\r\n", at)
-        record = dict.fromkeys(RECORD.names) | {"headers": []}
-        size = 0
-        for line in raw[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
-            name, _, value = line.partition(":")
-            name, value = name.strip(), value.strip()
-            if name.lower() == "content-length":
-                size = int(value)
-            elif name.lower() in _NAMED:
-                record[_NAMED[name.lower()]] = value
-            else:
-                record["headers"].append({"name": name, "value": value})
+    while at < len(raw):
+        begin = _NEXT.search(raw, at)
+        if not begin:
+            yield from _unparsed(raw[at:], "no record")
+            return
+        yield from _unparsed(raw[at : begin.start()], "no record")
+        at = begin.start()
+        end = raw.find(b"\r\n\r\n", at)
+        following = _NEXT.search(raw, at + 5)
+        if end < 0 or following and following.start() < end:
+            stop = following.start() if following else len(raw)
+            yield from _unparsed(raw[at:stop], "header without its end")
+            at = stop
+            continue
+        record, size = _header(raw[at:end])
+        if size is None or end + 4 + size > len(raw):
+            stop = following.start() if following else len(raw)
+            yield from _unparsed(raw[at:stop], "no length" if size is None else "block cut short")
+            at = stop
+            continue
         record["block"] = raw[end + 4 : end + 4 + size]
         yield record
-        at = end + 4 + size + 4
+        at = end + 4 + size
+
+
+def _header(raw: bytes) -> tuple[dict, int | None]:
+    """A record without its block, and the length of that; None if it is missing or no number."""
+    record = dict.fromkeys(RECORD.names) | {"headers": []}
+    size = None
+    for line in raw.decode("utf-8", "replace").split("\r\n")[1:]:
+        name, _, value = line.partition(":")
+        name, value = name.strip(), value.strip()
+        if name.lower() == "content-length":
+            size = int(value) if value.isascii() and value.isdigit() else None
+        elif name.lower() in _NAMED:
+            record[_NAMED[name.lower()]] = value
+        else:
+            record["headers"].append({"name": name, "value": value})
+    return record, size
 
 
 def _batch(rows: list[dict], schema: T.StructType) -> pa.RecordBatch:
@@ -289,7 +354,10 @@ def derive(records: DataFrame) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The records of WARC files (plain or .gz); a file is read by one task."""
+    """The records of WARC files (plain or .gz), with rows of type UNPARSED for what is none.
+
+    A file is read by one task, which holds it: up to some hundred megabytes, or the 2 GB that Spark reads.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """Operators that compare texts with each other or learn from them, against brute force."""
 
+import gzip
 import math
 import random
 import re
@@ -322,3 +323,55 @@ def test_warc_codings():
     (meta,) = warc.derivatives(image)
     assert "http-status: 404" in meta["block"].decode()
     assert warc.derivatives(meta) == []
+
+
+def test_warc_http_oddities():
+    part = lambda head, body: warc.http_parts(f"HTTP/1.1 {head}\r\n\r\n".encode("latin-1") + body)
+    assert part("²00 OK", b"x")[0] is None and part("200 OK", b"x")[0] == 200
+    raw = zlib.compressobj(wbits=-15)
+    packed = raw.compress(b"plain text") + raw.flush()
+    assert part("200 OK\r\nContent-Encoding: deflate", packed)[2] == b"plain text"
+    assert part("200 OK\r\nContent-Encoding: deflate", zlib.compress(b"plain"))[2] == b"plain"
+    assert part("200 OK\r\nContent-Encoding: gzip", b"no gzip")[2] == b"no gzip"
+    chunked = "200 OK\r\nTransfer-Encoding: chunked"
+    assert part(chunked, b"3\r\nabc\r\n0\r\n\r\n")[2] == b"abc"
+    assert part(chunked, b"3\r\nabc\r\n5\r\nde")[2] == b"3\r\nabc\r\n5\r\nde"
+
+
+def test_warc_reader_goes_on_behind_damage(spark, tmp_path):
+    one, two, three = (warc.serialised(warc.response(k, "u", f"<p>page {k} WARC/1</p>")) for k in range(3))
+    ids = [warc.response(k, "u", f"<p>page {k} WARC/1</p>")["record_id"] for k in range(3)]
+    bad_length = re.sub(rb"Content-Length: \d+", b"Content-Length: many", two)
+    wrong_length = re.sub(rb"Content-Length: \d+", b"Content-Length: 10", two)
+    no_end = two.split(b"\r\n\r\n")[0] + b"\r\n"
+    plain = {
+        "whole": (one + two + three, 3, 0),
+        "blank lines": (one + b"\r\n\r\n\r\n" + two + three, 3, 0),
+        "junk": (b"junk\n" + one + b"more junk\n" + two + three, 3, 2),
+        "length": (one + bad_length + three, 2, 1),
+        "short length": (one + wrong_length + three, 3, 1),
+        "no end": (one + no_end + three, 2, 1),
+        "cut": (one + two + three[:-30], 2, 1),
+        "empty": (b"", 0, 0),
+        "no file": (b"\x00\xff text", 0, 1),
+    }
+    packed = [gzip.compress(x) for x in (one, two, three)]
+    broken = packed[1][:12] + b"\xff" * 20 + packed[1][32:]
+    zipped = {
+        "members": (b"".join(packed), 3, 0),
+        "padding": (packed[0] + b"\0" * 512 + packed[1] + b"\r\n" + packed[2], 3, 0),
+        "broken member": (packed[0] + broken + packed[2], 2, 1),
+        "cut member": (packed[0] + packed[1][:-40], 1, None),
+    }
+    for name, (raw, records, other) in (plain | zipped).items():
+        found = list(warc.parsed(raw))
+        good = [r for r in found if r["record_type"] != warc.UNPARSED]
+        assert len(good) == records, name
+        assert other is None or len(found) - len(good) == other, name
+        assert {r["record_id"] for r in good} <= set(ids)
+        if records >= 2 and "length" not in name:
+            assert good[0]["record_id"] == ids[0]
+    (tmp_path / "a.warc").write_bytes(plain["junk"][0])
+    (tmp_path / "b.warc.gz").write_bytes(zipped["broken member"][0])
+    counts = {r.record_type: r["count"] for r in warc.read(spark, str(tmp_path)).groupBy("record_type").count().collect()}
+    assert counts == {"response": 5, "unparsed": 3}
