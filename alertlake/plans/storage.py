@@ -203,12 +203,13 @@ def write_by_day(
     """Write partitioned by ``mjd_day``. The rebalance lets AQE split a crowded day over
     tasks and join sparse days in one, so neither giant nor tiny files come out; rows are
     sorted by sky cell inside the files, and by source inside a cell, which makes their min/max
-    statistics selective."""
-    cell = sky.sky_cell(F.col("ra"), F.col("dec"))
+    statistics selective. Rows without a position have no cell."""
+    placed = {"ra", "dec"} <= set(alerts.columns)
+    cell = {sky.CELL: sky.sky_cell(F.col("ra"), F.col("dec"))} if placed else {}
     (
-        alerts.withColumns({"mjd_day": X.mjd_day("mjd", partition_days), sky.CELL: cell})
+        alerts.withColumns({"mjd_day": X.mjd_day("mjd", partition_days), **cell})
         .hint("rebalance", "mjd_day")
-        .sortWithinPartitions("mjd_day", sky.CELL, "dia_source_id", "mjd")
+        .sortWithinPartitions("mjd_day", *cell, "dia_source_id", "mjd")
         .write.mode(mode)
         .partitionBy("mjd_day")
         .parquet(path)
