@@ -62,8 +62,79 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64)
+#: Bytes that are hashed at once, and the length from which a word is hashed by itself.
+PIECE, LONG_WORD = 1 << 20, 1 << 16
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE_VALUES = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_starts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end, in bytes."""
+    word = ~_IS_SPACE[np.frombuffer(raw, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.r_[False, word, False]))
+    return edges[::2], edges[1::2]
+
+
+def _piece_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word from its bytes and their places in it, and where the words begin."""
+    starts, ends = word_starts(raw)
+    values = _BYTE_VALUES[np.frombuffer(raw, np.uint8)]
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(values * _power(_BASE, len(raw)), out=sums[1:])
+        hashes = _mixed((sums[ends] - sums[starts]) * _power(_BASE_INVERSE, len(raw) + 1)[starts])
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[k] = xxhash.xxh3_64_intdigest(raw[starts[k] : ends[k]])
+    return hashes, starts
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """A long text cut between words, a word of more than a piece by itself."""
+    at = 0
+    while len(raw) - at > PIECE:
+        found = _SPACE.search(raw, at + PIECE)
+        end = found.start() if found else len(raw)
+        if end - at > PIECE + LONG_WORD:  # a long word: what is ahead of it, then the word
+            ahead = max(raw.rfind(bytes([c]), at, at + PIECE) for c in np.flatnonzero(_IS_SPACE))
+            if ahead > at:
+                yield raw[at:ahead]
+            at = max(ahead, at)
+        yield raw[at:end]
+        at = end
+    yield raw[at:]
+
+
+def word_hashes(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after the other, and how many each text has."""
+    found, counts = [np.empty(0, np.uint64)], np.zeros(len(raws), np.int64)
+    held: list[tuple[int, bytes]] = []
+
+    def settle() -> None:
+        if held:
+            offsets = np.cumsum([0, *(len(raw) + 1 for _, raw in held)])
+            hashes, starts = _piece_hashes(b" ".join(raw for _, raw in held))
+            found.append(hashes)
+            of = np.searchsorted(offsets, starts, side="right") - 1
+            np.add.at(counts, np.array([k for k, _ in held])[of], 1)
+            held.clear()
+
+    size = 0
+    for k, raw in enumerate(raws):
+        for piece in _pieces(raw):
+            if size and size + len(piece) > PIECE:
+                settle()
+                size = 0
+            if len(piece) > PIECE + LONG_WORD:  # one word, and spaces
+                words = piece.split()
+                found.append(np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64))
+                counts[k] += len(words)
+            else:
+                held.append((k, piece))
+                size += len(piece)
+    settle()
+    return np.concatenate(found), counts
 
 
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -94,11 +165,10 @@ def selected(lines: np.ndarray, window: int) -> np.ndarray:
 class Chunk:
     """The words of several texts, one after the other."""
 
-    def __init__(self, texts: list[tuple], words: list[bytes], lengths: list[int]) -> None:
+    def __init__(self, texts: list[tuple], hashes: np.ndarray, lengths: np.ndarray) -> None:
         self.texts = np.array([t[:2] for t in texts], np.int64).reshape(-1, 2)
         self.more = [t[2:] for t in texts]
         self.starts = np.r_[0, np.cumsum(lengths)]
-        hashes = word_hashes(words)
         self.lines, self.spans = rolling(hashes, LINE), rolling(hashes, SPAN)
         chosen = selected(self.lines, SPAN - LINE + 1)
         self.row = np.repeat(np.arange(len(lengths)), lengths)
@@ -143,21 +213,21 @@ def _own_keys(texts: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 def _chunks(batches: Iterable[pa.RecordBatch], at: tuple[int, ...]) -> Iterator[Chunk]:
     """Chunks of the rows; ``at`` has the columns of document, hash, text, and what else is wanted."""
-    texts, words, lengths = [], [], []
+    texts, hashes, lengths, n = [], [], [], 0
     for part in slices(batches):
         doc, sig, raw, *more = (part.column(i) for i in at)
-        lists = (doc.to_pylist(), sig.to_pylist(), *(m.to_pylist() for m in more))
-        for raw_text, *row in zip(raw_texts(raw), *lists, strict=True):
-            mine = raw_text.split() if raw_text else []
-            if len(mine) >= SPAN:
-                texts.append(tuple(row))
-                words.extend(mine)
-                lengths.append(len(mine))
-        if len(words) >= WORDS_AT_ONCE:
-            yield Chunk(texts, words, lengths)
-            texts, words, lengths = [], [], []
+        words, counts = word_hashes([x or b"" for x in raw_texts(raw)])
+        enough = counts >= SPAN
+        rows = zip(*(c.to_pylist() for c in (doc, sig, *more)), strict=True)
+        texts.extend(row for row, some in zip(rows, enough, strict=True) if some)
+        hashes.append(words[np.repeat(enough, counts)])
+        lengths.append(counts[enough])
+        n += len(hashes[-1])
+        if n >= WORDS_AT_ONCE:
+            yield Chunk(texts, np.concatenate(hashes), np.concatenate(lengths))
+            texts, hashes, lengths, n = [], [], [], 0
     if texts:
-        yield Chunk(texts, words, lengths)
+        yield Chunk(texts, np.concatenate(hashes), np.concatenate(lengths))
 
 
 def _fingerprint_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,8 +344,6 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
     return cut.where("size > 0").groupBy(*TEXT_KEY).agg(F.collect_list(F.struct("start", "size")).alias("runs"))
 
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
 CUT = T.StructType(
     [
         T.StructField("text", T.StringType()),
@@ -294,7 +362,7 @@ def _cut(raw: bytes | None, runs: list[dict] | None) -> dict | None:
             merged[-1][1] = max(end, merged[-1][1])
         else:
             merged.append([start, end])
-    begins = [m.start() for m in _WORD.finditer(raw)]
+    begins, _ = word_starts(raw)
     out, at = [], 0
     for start, end in merged:
         out.append(raw[at : begins[start]])
