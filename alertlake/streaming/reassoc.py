@@ -7,10 +7,12 @@ silent for so many days of its own time.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,6 +112,8 @@ def detect_in_stream(
     """
     if alerts.sparkSession.conf.get(PROVIDER, None) != ROCKSDB:
         raise ValueError(f"set {PROVIDER} to {ROCKSDB}: state with timers needs it")
+    # Spark starts a worker of its own for the processor, which may not find this package: send its code.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     plain = alerts.drop("is_reassociation", "reassociation_reason", "is_new_source")
     timed = plain
     if expire_days is not None:
