@@ -230,11 +230,15 @@ def _chunks(batches: Iterable[pa.RecordBatch], at: tuple[int, ...]) -> Iterator[
         yield Chunk(texts, np.concatenate(hashes), np.concatenate(lengths))
 
 
+#: Rows of fingerprints: a settled row holds all places of a text that are settled in its chunk.
+FINGERPRINTS = T.StructType([*FOUND.fields[:4], T.StructField("places", T.ArrayType(T.LongType()))])
+
+
 def _fingerprint_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each selected line of the columns (doc, sig, text).
+    """Rows for the selected lines of the columns (doc, sig, text).
 
-    A line that is repeated in the chunk is settled as such wherever it is, and one of its rows
-    goes on, twice, to tell the other chunks.
+    A line that is repeated in the chunk is settled as such wherever it is, in one row for each text, and
+    one of its rows goes on, twice, to tell the other chunks.
     """
     for chunk in _chunks(batches, (0, 1, 2)):
         at = np.unique(chunk.chosen)
@@ -243,14 +247,20 @@ def _fingerprint_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
         of, place = chunk.texts[row], at - chunk.starts[row]
         new, count = _repeats(keys)
         again = np.flatnonzero(np.repeat(count > 1, count))
+        again = again[np.lexsort((place[again], row[again]))]
+        first, n_places = _repeats(row[again])
         on = np.repeat(new, np.minimum(count, 2))
-        yield _table(
-            np.r_[np.ones(len(again), bool), np.zeros(len(on), bool)],
-            np.r_[_own_keys(of[again], place[again]), keys[on]],
-            np.r_[of[again], of[on]],
-            np.r_[place[again], place[on]],
-            np.zeros(len(again) + len(on), np.int64),
+        lead = again[first]
+        texts, heads = np.concatenate([of[lead], of[on]]), np.r_[place[lead], place[on]]
+        ends = np.cumsum(np.r_[0, n_places, np.ones(len(on), np.int64)])
+        places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.r_[place[again], place[on]], pa.int64()))
+        key = np.r_[_own_keys(of[lead], place[lead]), keys[on]].view(np.int64)
+        settled = np.arange(len(heads)) < len(lead)
+        rows = pa.RecordBatch.from_arrays(
+            [pa.array(settled), pa.array(key), pa.array(texts[:, 0]), pa.array(texts[:, 1]), places],
+            names=FINGERPRINTS.names,
         )
+        yield rows.take(pa.array(np.lexsort((heads, texts[:, 1], texts[:, 0]))))
 
 
 def _span_rows(batches: Iterable[pa.RecordBatch], at: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
@@ -305,11 +315,11 @@ def _runs(of: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
 def repeated_lines(texts: DataFrame) -> DataFrame:
     """(doc, sig, places): places of the fingerprints that occur twice or more, anywhere."""
     given = texts.where(F.col("doc") != NO_DOC).select("doc", "sig", "text")
-    rows = given.mapInArrow(_fingerprint_rows, FOUND)
-    by_key = Window.partitionBy("settled", "key").orderBy("doc", "sig", "place")
+    rows = given.mapInArrow(_fingerprint_rows, FINGERPRINTS)
+    by_key = Window.partitionBy("settled", "key").orderBy("doc", "sig")
     again = F.lag("doc").over(by_key).isNotNull() | F.lead("doc").over(by_key).isNotNull()
     found = rows.withColumn("again", F.col("settled") | again).where("again")
-    return found.groupBy(*TEXT_KEY).agg(F.collect_set("place").alias("places"))
+    return found.groupBy(*TEXT_KEY).agg(F.flatten(F.collect_list("places")).alias("places"))
 
 
 def copies(texts: DataFrame) -> DataFrame:
