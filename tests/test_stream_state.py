@@ -63,3 +63,12 @@ def test_sources_of_a_bucket_share_a_call():
     second = flags(processor.handleInputRows((1,), batch((4, 2, 3.0, "b"), (5, 1, 3.0, "a"), (6, 9, 1.0, "c")), Times()))
     assert second == {4: ("changed_association", False), 5: (None, False), 6: (None, True)}
     assert handle.updates == 2 and sorted(handle.value[0]) == [1, 2, 9]
+
+
+def test_initial_state_of_a_bucket_comes_in_parts():
+    handle, processor = made()
+    for source, ident in ((1, "a"), (2**60 + 1, None)):
+        given = {"dia_source_id": [source], "ss_object_id": [ident], "ss_object_reassoc_time": [None], "last_seen_mjd": [1.0]}
+        processor.handleInitialState((1,), pd.DataFrame(given), Times())
+    found = flags(processor.handleInputRows((1,), batch((1, 1, 2.0, "b"), (2, 2**60 + 1, 2.0, "a"), (3, 2**60, 2.0, "a")), Times()))
+    assert found == {1: ("changed_association", False), 2: ("new_association", False), 3: (None, True)}
