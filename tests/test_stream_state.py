@@ -72,3 +72,14 @@ def test_initial_state_of_a_bucket_comes_in_parts():
         processor.handleInitialState((1,), pd.DataFrame(given), Times())
     found = flags(processor.handleInputRows((1,), batch((1, 1, 2.0, "b"), (2, 2**60 + 1, 2.0, "a"), (3, 2**60, 2.0, "a")), Times()))
     assert found == {1: ("changed_association", False), 2: ("new_association", False), 3: (None, True)}
+
+
+def test_silent_sources_of_a_bucket_expire_alone():
+    day, start = 86_400_000, 40587  # MJD of 1970-01-01
+    handle, processor = made(90)
+    list(processor.handleInputRows((1,), batch((1, 1, start + 10.0, "a"), (2, 2, start + 50.0, "a")), Times()))
+    assert handle.timers == [101 * day]
+    list(processor.handleExpiredTimer((1,), Times(101 * day), None))
+    assert handle.value[0] == [2] and handle.timers[-1] == 141 * day
+    found = flags(processor.handleInputRows((1,), batch((3, 1, start + 105.0, "b"), (4, 2, start + 105.0, "b")), Times(101 * day)))
+    assert found == {3: (None, True), 4: ("changed_association", False)}
