@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 from functools import reduce
 
@@ -71,8 +72,14 @@ add(
 )
 
 
+def _per_trigger(t: Tables, path: str, batches: int) -> int:
+    """Files for each trigger, so that a folder is read in so many micro-batches. A part is one file only
+    while it is small: one file at a time, the runs of a stream would be as many as the tasks that wrote it."""
+    return max(1, math.ceil(len(SG.data_files(t.spark, path)) / batches))
+
+
 def _as_files(t: Tables, rows: DataFrame, order: str, label: str) -> str:
-    """Rows as three files, those of the largest ``order`` first, as a stream source reads them."""
+    """Rows in three parts, those of the largest ``order`` first, as a stream source reads them."""
     path = scratch_path(t.spark, label)
     cuts = rows.approxQuantile(order, [0.33, 0.67], 0.01)
     bounds = [None, *sorted(cuts, reverse=True), None]
@@ -87,7 +94,7 @@ def _as_files(t: Tables, rows: DataFrame, order: str, label: str) -> str:
 def _dedupe_late(t: Tables) -> DataFrame:
     rows = t.fx.select("alert_id", "dia_source_id", "mjd")
     path = _as_files(t, rows, "mjd", "late")
-    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _per_trigger(t, path, 3)).parquet(path)
     return _to_parquet(SI.dedupe_stream(stream), "late-deduped").select("alert_id", "dia_source_id")
 
 
@@ -98,7 +105,7 @@ def _stream_bounded(t: Tables) -> DataFrame:
     rows = _as_alerts(t.fx)
     path = _as_files(t, rows, "mjd", "bounded")
     lake = SG.Lake(scratch_path(t.spark, "bounded-lake"), 400)
-    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _per_trigger(t, path, 3)).parquet(path)
     SI.run_bounded(SI.start_ingest(stream, lake, scratch_path(t.spark, "bounded-offsets"), name="bounded"))
     return lake.read(t.spark, "alerts").select("alert_id", "dia_source_id")
 
@@ -252,12 +259,12 @@ add(
 
 
 def _message_ingest(t: Tables) -> DataFrame:
-    """Framed messages as a stream of two files; a row for what was stored and what was not decoded."""
+    """Framed messages as a stream of two parts; a row for what was stored and what was not decoded."""
     path = scratch_path(t.spark, "messages")
     messages = _framed(t)
     for part in (0, 1):
         messages.where(F.pmod(F.crc32("value"), F.lit(2)) == part).write.mode("append").parquet(path)
-    stream = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", _per_trigger(t, path, 2)).parquet(path)
     lake = SG.Lake(scratch_path(t.spark, "message-lake"), 400)
     SI.run_bounded(SI.start_message_ingest(stream, lake, scratch_path(t.spark, "message-offsets")))
     runs = I.latest_runs(t.spark, lake)
