@@ -2,6 +2,7 @@
 
 import os
 
+from alertlake import queryset_io as QI
 from alertlake import queryset_more as Q
 from alertlake.session import scratch_path
 
@@ -15,3 +16,18 @@ def test_a_part_of_many_files_is_one_batch(spark, tables):
     query = stream.writeStream.format("noop").option("checkpointLocation", offsets).trigger(availableNow=True).start()
     query.awaitTermination()
     assert len([x for x in os.listdir(f"{offsets}/commits") if x.isdigit()]) == 3
+
+
+def test_runs_over_one_input_derive_it_once(spark, tables, monkeypatch):
+    """What the processors get has no window left in its plan: it is read from a stored table."""
+    given = []
+
+    class Runner(QI.PR.Runner):
+        def __init__(self, alerts, lake):
+            given.append(alerts)
+            super().__init__(alerts, lake)
+
+    monkeypatch.setattr(QI.PR, "Runner", Runner)
+    QI._results_log(tables)
+    plan = given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "MapInArrow" not in plan
