@@ -21,7 +21,7 @@ from alertlake.plans import processors as PR
 from alertlake.plans import reports as RP
 from alertlake.plans import storage as SG
 from alertlake.queryset import AS_OF_TIME, MOON, ROW, ROW_SQL, add, r6
-from alertlake.queryset_io import _FLAG_SQL, _KINDS_SQL, _TRAIL_SQL, _as_alerts, _flat, _framed, _to_parquet
+from alertlake.queryset_io import _FLAG_SQL, _KINDS_SQL, _TRAIL_SQL, _as_alerts, _delivered, _flat, _framed, _to_parquet
 from alertlake.session import scratch_path
 from alertlake.sources import files as FS
 from alertlake.sources import packets as PK
@@ -454,7 +454,7 @@ add(
 
 def _resumed(t: Tables) -> DataFrame:
     """A stream that ends, and goes on from its offsets when more files are there: runs by name."""
-    rows, path = _as_alerts(t.alerts), scratch_path(t.spark, "growing")
+    rows, path = _delivered(t, _as_alerts(t.alerts), "given"), scratch_path(t.spark, "growing")
     lake, offsets = SG.Lake(scratch_path(t.spark, "resumed-lake"), 400), scratch_path(t.spark, "resumed")
     for part in ("mjd < 50000", "mjd >= 50000 AND mjd < 51000", "mjd >= 51000"):
         rows.where(part).write.mode("append").parquet(path)
