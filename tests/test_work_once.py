@@ -2,6 +2,9 @@
 
 import json
 
+import numpy as np
+
+from alertlake.operators import cutouts
 from alertlake.schema import PACKET_SCHEMA
 from alertlake.sources import wire
 
@@ -22,3 +25,37 @@ def test_messages_are_parsed_once_by_each_schema(spark):
     assert sorted(r.alert_id for r in good.collect()) == [1, 2]
     assert sorted((r.schema_id or 0, r.value is None) for r in bad.collect()) == [(0, True), (8, False)]
     assert _optimized(good).count("from_json") == 2 and _optimized(bad).count("from_json") == 2
+
+
+def _stamp(bits, pixels, **cards):
+    cards = {"SIMPLE": "T", "BITPIX": bits, "NAXIS": 2, "NAXIS1": pixels.shape[1], "NAXIS2": pixels.shape[0]} | cards
+    text = "".join(f"{k:<8}= {v:>20}".ljust(80) for k, v in cards.items()) + "END".ljust(80)
+    return text.ljust(2880).encode() + pixels.tobytes()
+
+
+def test_stamps_of_one_layout_are_looked_at_together(spark, monkeypatch):
+    import gzip
+
+    r = np.random.default_rng(3)
+    small = [r.integers(0, 255, (4, 4)).astype(">u1") for _ in range(50)]
+    scaled = [r.normal(size=(3, 5)).astype(">f4") for _ in range(20)]
+    scaled[3][1, 1], scaled[4][0, 0] = np.inf, np.nan
+    images = [*small, *(x * 2.0 + 1.0 for x in scaled)]
+    stamps = [_stamp(8, x) for x in small] + [_stamp(-32, x, BSCALE=2.0, BZERO=1.0) for x in scaled]
+    stamps[7] = gzip.compress(stamps[7])
+    odd = [None, b"", b"junk", stamps[0][:-1], b"\x1f\x8b\0"]
+    calls, median = [], np.median
+    monkeypatch.setattr(np, "median", lambda *a, **k: calls.append(1) or median(*a, **k))
+    found = cutouts._stats_array([*odd, *stamps]).to_pylist()
+    monkeypatch.undo()
+    assert len(calls) == 2
+    assert [x["verdict"] for x in found[:5]] == ["empty", "empty", "corrupt", "corrupt", "corrupt"]
+    for x, image in zip(found[5:], images):
+        values = image.astype("f8")
+        wanted = [float(fn(values)) for fn in (np.min, np.max, np.mean, np.median, np.std)]
+        got = [x[c] for c in ("min", "max", "mean", "median", "std")]
+        assert got == [None if np.isnan(v) else v for v in wanted]
+        assert (x["verdict"], x["shape"], x["dtype"]) == ("valid", "x".join(map(str, image.shape)), image.dtype.newbyteorder("=").name)
+        assert (x["has_nan"], x["has_inf"]) == (np.isnan(values).any(), np.isinf(values).any())
+    rows = spark.createDataFrame([(i, bytearray(s)) for i, s in enumerate(stamps)], "id int, data binary")
+    assert cutouts.pixel_statistics(rows).where("verdict = 'valid' AND shape = '4x4'").count() == 50
