@@ -3,8 +3,11 @@
 import json
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
 from alertlake.operators import cutouts
+from alertlake.plans import processors
 from alertlake.schema import PACKET_SCHEMA
 from alertlake.sources import wire
 
@@ -59,3 +62,35 @@ def test_stamps_of_one_layout_are_looked_at_together(spark, monkeypatch):
         assert (x["has_nan"], x["has_inf"]) == (np.isnan(values).any(), np.isinf(values).any())
     rows = spark.createDataFrame([(i, bytearray(s)) for i, s in enumerate(stamps)], "id int, data binary")
     assert cutouts.pixel_statistics(rows).where("verdict = 'valid' AND shape = '4x4'").count() == 50
+
+
+class Calls(processors.GroupProcessor):
+    """Rows of a key, and the calls that they took; the id beside the key is above 2**53 or null."""
+
+    partial_schema = "dia_object_id long, n long, calls long"
+    result_schema = "dia_object_id long, n long, calls long, big long"
+
+    @staticmethod
+    def partial(key, group):
+        return pd.DataFrame({"dia_object_id": [key], "n": [len(group)], "calls": [1]})
+
+    @staticmethod
+    def merge(key, parts):
+        return pd.DataFrame({"dia_object_id": [key], "n": [parts["n"].sum()], "calls": [parts["calls"].sum()]})
+
+    @staticmethod
+    def combine(key, parts):
+        big = 2**53 + 1 if key % 2 else None
+        return {"dia_object_id": key, "n": parts["n"].sum(), "calls": parts["calls"].sum(), "big": big} if key else None
+
+
+def test_a_key_takes_one_call_unless_it_is_long(spark):
+    hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 100)
+    rows = spark.range(0, 30000, 1, 8).select(hot.alias("dia_object_id"), F.lit(5e4).alias("mjd"))
+    got = {r.dia_object_id: r for r in Calls().run(rows, 0.0, 1e6).collect()}
+    assert set(got) == {-1, *range(1, 100)} and got[-1].n == 10000
+    assert all(got[k].n == 200 for k in range(1, 100))
+    # Four tasks share the rows: a short key is in one place, or in two at the end of a range.
+    assert sum(got[k].calls for k in range(1, 100)) <= 99 + 4
+    assert got[1].big == got[-1].big == 2**53 + 1 and got[2].big is None
+    assert Calls().run(rows.where("mjd < 0"), 0.0, 1e6).count() == 0
