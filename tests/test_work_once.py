@@ -64,6 +64,28 @@ def test_stamps_of_one_layout_are_looked_at_together(spark, monkeypatch):
     assert cutouts.pixel_statistics(rows).where("verdict = 'valid' AND shape = '4x4'").count() == 50
 
 
+def test_triplets_of_differing_types_are_compared(spark):
+    a, b, c = (np.full((2, 2), v) for v in (7, 2, 4))
+    c[0, 0] = 9
+    rows = [
+        (1, _stamp(16, a.astype(">i2")), _stamp(-64, b.astype(">f8")), _stamp(8, c.astype(">u1"))),
+        (2, _stamp(8, a.astype(">u1")), _stamp(8, b.astype(">u1")), _stamp(8, np.zeros((2, 3), ">u1"))),
+        (3, _stamp(8, a.astype(">u1")), b"junk", _stamp(8, c.astype(">u1"))),
+        (4, _stamp(8, a.astype(">u1")), _stamp(8, b.astype(">u1")), _stamp(8, a.astype(">u1"))),
+    ]
+    packets = spark.createDataFrame(
+        [(k, k, k, 6e4, *map(bytearray, x)) for k, *x in rows],
+        "alert_id long, dia_source_id long, dia_object_id long, mjd double, cutoutScience binary,"
+        "cutoutTemplate binary, cutoutDifference binary",
+    )
+    got = {r.alert_id: r for r in cutouts.compare_packets(packets).collect()}
+    assert sorted(got) == [1, 2, 4]
+    assert (got[1].shape, got[1].diff_peak) == ("2x2", 9.0)
+    assert got[1].residual_rms == np.sqrt(np.mean((a - b - c) ** 2.0)) and got[1].diff_snr == 9 / c.std()
+    assert (got[2].shape_match, got[2].shape) == (False, None)
+    assert got[4].shape_match and got[4].diff_snr is None
+
+
 class Calls(processors.GroupProcessor):
     """Rows of a key, and the calls that they took; the id beside the key is above 2**53 or null."""
 
