@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from alertlake.operators import cutouts
 from alertlake.plans import processors
 from alertlake.schema import PACKET_SCHEMA
-from alertlake.sources import wire
+from alertlake.sources import files, wire
 
 
 def _optimized(rows):
@@ -30,6 +30,14 @@ def test_messages_are_parsed_once_by_each_schema(spark):
     assert _optimized(good).count("from_json") == 2 and _optimized(bad).count("from_json") == 2
 
 
+def test_json_lines_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text("\n".join([_packet(1), "", '{"alertId": 1, "di', '{"diaSource": {"diaSourceId": 3}}']))
+    good, bad = files.read_json_with_rejects(spark, str(tmp_path))
+    assert [r.alert_id for r in good.collect()] == [1]
+    assert sorted(r.reason for r in bad.collect()) == ["no JSON packet", "no alert id"]
+    assert _optimized(good).count("from_json") == 1 and _optimized(bad).count("from_json") == 1
+
+
 def _stamp(bits, pixels, **cards):
     cards = {"SIMPLE": "T", "BITPIX": bits, "NAXIS": 2, "NAXIS1": pixels.shape[1], "NAXIS2": pixels.shape[0]} | cards
     text = "".join(f"{k:<8}= {v:>20}".ljust(80) for k, v in cards.items()) + "END".ljust(80)
