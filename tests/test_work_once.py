@@ -38,6 +38,19 @@ def test_json_lines_are_parsed_once(spark, tmp_path):
     assert _optimized(good).count("from_json") == 1 and _optimized(bad).count("from_json") == 1
 
 
+def test_csv_values_are_typed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        "alertId,diaSourceId,ra,decl,midPointTai,psFlux,filterName,trailLength\n"
+        "1,12.0, 1.5 ,2.0,60000.5,NaN, G ,3.5\n2,1,1.0,2.0,60000.5,bad,g,\n3,1,,2.0,60000.5,1,g,\n"
+    )
+    rows = files.read_csv_alerts(spark, str(tmp_path))
+    (got,) = rows.collect()
+    assert (got.alert_id, got.dia_source_id, got.ra, got.ps_flux, got.filter_name) == (1, 12, 1.5, None, "g")
+    assert got.trail_data == {"trailLength": 3.5}
+    lines = _optimized(rows).split("\n")
+    assert not any("Filter" in line and "try_cast" in line for line in lines)
+
+
 def _stamp(bits, pixels, **cards):
     cards = {"SIMPLE": "T", "BITPIX": bits, "NAXIS": 2, "NAXIS1": pixels.shape[1], "NAXIS2": pixels.shape[0]} | cards
     text = "".join(f"{k:<8}= {v:>20}".ljust(80) for k, v in cards.items()) + "END".ljust(80)
