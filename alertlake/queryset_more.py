@@ -435,8 +435,8 @@ def _by_name(t: Tables) -> DataFrame:
     """The packets through three registered readers, and a bounded read of each."""
     folder, parts = scratch_path(t.spark, "by-name"), []
     t.packets.write.parquet(f"{folder}/parquet")
-    t.packets.write.json(f"{folder}/json")
-    E.export(PK.flatten_packet(t.packets), f"{folder}/csv", "csv")
+    t.packets.write.json(f"{folder}/json", compression="gzip")
+    E.export(PK.flatten_packet(t.packets), f"{folder}/csv", "csv", compression="gzip")
     for name in ("parquet", "json", "csv"):
         rows = registry.read(t.spark, name, f"{folder}/{name}")
         few = registry.read(t.spark, name, f"{folder}/{name}", limit=100).select(F.lit(None).cast("long").alias("alert_id"))

@@ -6,9 +6,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from alertlake import queryset_more
 from alertlake.operators import cutouts
-from alertlake.plans import processors
+from alertlake.plans import processors, storage
 from alertlake.schema import PACKET_SCHEMA
+from alertlake.session import scratch_path
 from alertlake.sources import files, wire
 
 
@@ -137,3 +139,10 @@ def test_a_key_takes_one_call_unless_it_is_long(spark):
     assert sum(got[k].calls for k in range(1, 100)) <= 99 + 4
     assert got[1].big == got[-1].big == 2**53 + 1 and got[2].big is None
     assert Calls().run(rows.where("mjd < 0"), 0.0, 1e6).count() == 0
+
+
+def test_texts_of_large_inputs_are_compressed(spark, tables):
+    damaged = storage.data_files(spark, queryset_more._damaged_lines(tables))
+    assert damaged and all(path.endswith(".snappy") for path, *_ in damaged)
+    folder = queryset_more.E.export(tables.alerts.select("alert_id"), scratch_path(spark, "text"), "csv", compression="gzip")
+    assert all(path.endswith(".csv.gz") for path, *_ in storage.data_files(spark, folder))
