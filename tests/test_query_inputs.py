@@ -2,8 +2,12 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from alertlake import queryset_io as QI
 from alertlake import queryset_more as Q
+from alertlake.fixture import Tables
+from alertlake.queryset import QUERIES
 from alertlake.session import scratch_path
 
 
@@ -31,3 +35,34 @@ def test_runs_over_one_input_derive_it_once(spark, tables, monkeypatch):
     QI._results_log(tables)
     plan = given[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "MapInArrow" not in plan
+
+
+def line_tables(spark):
+    """Tables of a few lines of their own."""
+    folder = scratch_path(spark, "lines")
+    line = F.col("id") % 7 + 1
+    spark.range(140).select(
+        F.floor(F.col("id") / 7).alias("l_orderkey"),
+        (F.col("id") % 11).alias("l_partkey"),
+        (F.col("id") % 5).alias("l_suppkey"),
+        line.cast("int").alias("l_linenumber"),
+        (F.col("id") % 50 + 1).cast("double").alias("l_quantity"),
+        (F.col("id") % 90 * 100.0 + 1000).alias("l_extendedprice"),
+        F.lit(0.01).alias("l_discount"),
+        (F.col("id") % 9 / 100).alias("l_tax"),
+        F.element_at(F.array(*map(F.lit, "NRA")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"),
+        F.expr("timestamp'1995-01-02' + make_interval(0, 0, 0, int(id % 2400))").alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return Tables(spark, folder)
+
+
+def same_rows(left, right):
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def test_exported_json_is_compressed(spark):
+    t = line_tables(spark)
+    found = QUERIES["export_json"].build(t)
+    assert found.inputFiles() and all(f.endswith(".json.gz") for f in found.inputFiles())
+    assert same_rows(found, QI._as_alerts(t.alerts).select(*found.columns))
