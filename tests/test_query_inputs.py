@@ -66,3 +66,10 @@ def test_exported_json_is_compressed(spark):
     found = QUERIES["export_json"].build(t)
     assert found.inputFiles() and all(f.endswith(".json.gz") for f in found.inputFiles())
     assert same_rows(found, QI._as_alerts(t.alerts).select(*found.columns))
+
+
+def test_json_packets_are_read_compressed(spark):
+    t = line_tables(spark)
+    found = QUERIES["json_packet_scan"].build(t)
+    assert found.inputFiles() and all(f.endswith(".json.gz") for f in found.inputFiles())
+    assert same_rows(found, QUERIES["flatten_packet"].build(t))
