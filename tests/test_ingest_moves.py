@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from alertlake.operators import skew, state
+from alertlake.operators import dedupe, skew, state
 from alertlake.plans import ingest, storage
 from alertlake.plans.storage import Lake
 from alertlake.schema import ALERT_COLUMNS
@@ -42,6 +42,32 @@ def test_whole_alerts_are_not_shuffled_before_their_day(spark, tmp_path, monkeyp
     assert lake.read(spark, "alerts").count() == 40
 
 
+def test_copies_are_told_apart_on_few_columns(spark, tmp_path, monkeypatch):
+    """Whole alerts are read once, and the copy that stays is the one that whole rows would give."""
+    seen, write = [], storage.write_by_day
+
+    def watched(alerts, *args, **options):
+        explained = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString
+        seen.append(explained(alerts._jdf.queryExecution(), "formatted"))
+        write(alerts, *args, **options)
+
+    monkeypatch.setattr(storage, "write_by_day", watched)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    # Copies of one time that differ in their flux, twins, and a row that is refused.
+    rows = [(i, i % 7, 60000.0 + i, 5.0 + k, "S" if k else None) for i in range(1, 30) for k in (0, 1, 2, 2)]
+    alerts = make(spark, [*rows, (99, None, 60000.0, 5.0, None)]).withColumn("ingested_at", F.lit("2026-01-01").cast("timestamp"))
+    want = sorted((r.alert_id, r.snr) for r in dedupe.dedupe_alerts(ingest.prepare(alerts.where("alert_id < 99"))).collect())
+    for k, (track, at) in enumerate(((True, 0), (True, 10**6), (False, 0))):
+        lake = Lake(str(tmp_path / f"lake{k}"))
+        run = ingest.ingest(alerts, lake, run_id="a", track_state=track, broadcast_rows=at)
+        assert (run.alerts_received, run.alerts_failed, run.alerts_ingested) == (117, 1, 29)
+        assert sorted((r.alert_id, r.snr) for r in lake.read(spark, "alerts").collect()) == want
+        refused = spark.read.parquet(lake.path("quarantine"))
+        assert refused.count() == 1 and not {ingest.STAGED, ingest.TIE} & set(refused.columns)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert [sum("snr" in x for x in plan.split("\n") if x.startswith("ReadSchema")) for plan in seen] == [1, 1, 1]
+
+
 def test_one_alert_id_of_two_sources(spark, tmp_path):
     rows = [(1, 1, 60000.0, 5.0, None), (1, 2, 60001.0, 6.0, "S"), (2, 1, 60002.0, 7.0, "S"), (2, 1, 60002.0, 7.0, "S")]
     later = [(1, 3, 60003.0, 8.0, None), (3, 1, 60004.0, 9.0, "T")]
@@ -61,6 +87,8 @@ def test_one_alert_id_of_two_sources(spark, tmp_path):
 def test_hot_key_is_found_by_parts(spark):
     rows = spark.range(1000).select((F.col("id") % 100).alias("k"))
     assert not skew.has_hot_key(rows, "k", 10) and skew.has_hot_key(rows, "k", 9)
+    part = F.col("k") % 4
+    assert not skew.has_hot_key(rows, "k", 10, (part, {0: 10})) and skew.has_hot_key(rows, "k", 9, (part, {0: 250}))
     none = spark.createDataFrame([(None,)] * 5 + [(1,)], "k long")
     assert skew.has_hot_key(none, "k", 4) and not skew.has_hot_key(none, "k", 5)
 

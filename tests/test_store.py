@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from alertlake.operators import filters
 from alertlake.plans import catalog, ingest, storage
 from alertlake.plans.storage import Lake
-from alertlake.plans.store import Store, hash_of
+from alertlake.plans.store import Store, buckets_of, hash_of
 from tests.test_lake import make_alerts
 
 
@@ -36,6 +36,12 @@ def test_a_batch_opens_its_own_buckets(spark, tmp_path):
     assert {r.alert_id for r in found.collect()} == want
 
 
+def test_small_buckets_stay_few():
+    """A bucket is a folder: many are made only where each has many rows."""
+    assert [buckets_of(n, 4000) for n in (1, 4001, 600_000, 10**6, 10**8, 10**9)] == [1, 2, 256, 256, 256, 1024]
+    assert [buckets_of(n, 1_000_000) for n in (10**6, 3 * 10**8, 10**11)] == [1, 512, 4096]
+
+
 def test_segments_merge_and_runs_repeat(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"), bucket_rows=10, merge_at=2)
     for k in range(5):
