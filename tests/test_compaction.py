@@ -50,6 +50,16 @@ def test_runs_are_read_from_the_compaction(spark, tmp_path):
     assert ingest.current_state(spark, lake).agg(F.sum("observation_count")).first()[0] == len(again) + 3
 
 
+def test_a_compaction_is_shared_by_the_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(compaction, "LEAST_BYTES", 2000)
+    lake = Lake(str(tmp_path / "lake"), partition_days=10_000)
+    ingest.ingest(spread(spark, range(3000)), lake, run_id="a")
+    ingest.compact(spark, lake)
+    files = glob.glob(f"{tmp_path}/lake/compacted/*/mjd_day=*/*.parquet")
+    assert len(files) == 2 * spark.sparkContext.defaultParallelism
+    assert lake.read(spark, "alerts").count() == 3000
+
+
 BOXES = [(10.0, 40.0, -30.0, 20.0, False), (340.0, 20.0, -5.0, 5.0, True), (0.0, 360.0, 85.0, 90.0, False)]
 
 
